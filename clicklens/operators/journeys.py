@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_SESSION_ROWS = 1_000_000
+MOST_HOT_SESSIONS = 10_000
 SECOND = len("yyyy-MM-dd HH:mm:ss")
 
 
@@ -40,11 +41,18 @@ def page_visits(actions: DataFrame, flow: str) -> DataFrame:
     )
 
 
-def hot_sessions(actions: DataFrame, hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
-    """Sessions with more than ``hot_rows`` rows: fewer than (rows / hot_rows) of them."""
+def hot_sessions(
+    actions: DataFrame, hot_rows: int = HOT_SESSION_ROWS, most: int = MOST_HOT_SESSIONS
+) -> DataFrame:
+    """Sessions with more than ``hot_rows`` rows, the ``most`` largest of them.
+
+    The limit bounds what ``flow_steps`` broadcasts. Results do not depend on
+    it: a session beyond it has less than one ``most``-th of all rows, and is
+    simply not sliced.
+    """
     return (
         actions.groupBy("session_id").agg(F.count("*").alias("n"))
-        .where(F.col("n") > hot_rows).select("session_id")
+        .where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(most).select("session_id")
     )
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 class SharedFolder:
-    """A folder of sub-folders ``<label>=<number>`` on any file system Spark can write."""
+    """A folder of sub-folders ``<label>=<number>`` on any file system Spark can write.
+
+    One writer at a time; the file system must rename a folder as a whole.
+    """
 
     def __init__(self, spark: SparkSession, path: str, label: str = "batch_id"):
         self.path = path.rstrip("/")
@@ -37,8 +38,8 @@ class SharedFolder:
         """
         if self.has(number):
             return
-        staging = f"{self.path}.staging/{uuid.uuid4().hex}"
-        rows.write.parquet(staging)
+        staging = f"{self.path}.staging/{self.label}={number}"
+        rows.write.mode("overwrite").parquet(staging)
         moved = self._files.rename(self._new_path(staging), self._new_path(self.part(number)))
         if not moved:
             raise OSError(f"could not move {staging} to {self.part(number)}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def save_table(
@@ -19,9 +20,15 @@ def save_table(
     """Replace a catalog table, definition included.
 
     Partition the action log by ``date`` so that date bounds prune it; bucket
-    it and the users alike by ``user_id`` so that their join needs no shuffle. With
-    a ``path`` the files lie there instead of in the warehouse.
+    it and the users alike by ``user_id`` so that their join needs no shuffle.
+    With a ``path`` the files lie there instead of in the warehouse.
+
+    Rows of a partition or bucket are brought together first, so that there are
+    few files, and Spark splits a very large one among several tasks.
     """
+    together = [bucket_by] if bucket_by else list(partition_by)
+    if together:
+        rows = rows.hint("rebalance", *[F.col(column) for column in together])
     writer = rows.write.mode("overwrite").format(format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

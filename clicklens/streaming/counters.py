@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clicklens.plans.ads import AREA_KEYS, CITY_KEYS, area_top_ads
 from clicklens.sinks import KeyedTable
 from clicklens.sources.schemas import AREA_TOP_ADS, CITY_CLICKS
-from clicklens.streaming.running import running_counts
+from clicklens.streaming.running import running_counts, whole_batch
 
 COMPACT_EVERY = 200
 
@@ -32,12 +32,16 @@ class CityCounts:
         return (
             running_counts(clicks, CITY_KEYS, self._keep_days)
             .writeStream.outputMode(output_mode)
-            .foreachBatch(self._table.put)
+            .foreachBatch(self._store)
             .option("checkpointLocation", f"{self._folder}/checkpoints/counts")
             .trigger(**trigger)
             .start()
         )
 
+    def _store(self, batch: DataFrame, batch_id: int) -> None:
+        with whole_batch(batch) as changed:
+            self._table.put(changed, batch_id)
+
 
 class AreaTopAds:
     """The ads with the most clicks of each day and area, as JSON text.
@@ -70,17 +74,16 @@ class AreaTopAds:
             .start()
         )
 
-    def _merge(self, changed: DataFrame, batch_id: int) -> None:
-        if self._table.has(batch_id):
-            return
-        changed.persist()
-        touched = changed.select("day", "area").distinct()
-        former = (
-            self._table.read().join(touched, ["day", "area"], "left_semi")
-            .select("day", "area", F.inline("top"))
-        )
-        candidates = former.unionByName(changed).groupBy(*AREA_KEYS).agg(
-            F.max("clicks").alias("clicks")
-        )
-        self._table.put(area_top_ads(candidates, self._k), batch_id)
-        changed.unpersist()
+    def _merge(self, batch: DataFrame, batch_id: int) -> None:
+        with whole_batch(batch) as changed:
+            if self._table.has(batch_id):
+                return
+            touched = changed.select("day", "area").distinct()
+            former = (
+                self._table.read().join(touched, ["day", "area"], "left_semi")
+                .select("day", "area", F.inline("top"))
+            )
+            candidates = former.unionByName(changed).groupBy(*AREA_KEYS).agg(
+                F.max("clicks").alias("clicks")
+            )
+            self._table.put(area_top_ads(candidates, self._k), batch_id)

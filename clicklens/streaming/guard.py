@@ -20,7 +20,7 @@ from clicklens.plans.ads import USER_KEYS, users_to_list
 from clicklens.sinks import KeyedTable, SharedFolder
 from clicklens.sources import parse_clicks, read_clicks, rejected_lines
 from clicklens.sources.schemas import AD_CLICK, BLACKLIST, USER_CLICKS
-from clicklens.streaming.running import running_counts
+from clicklens.streaming.running import running_counts, whole_batch
 
 
 class ClickGuard:
@@ -40,7 +40,7 @@ class ClickGuard:
         self._clean = SharedFolder(spark, f"{folder}/clean")
         self._rejected = SharedFolder(spark, f"{folder}/rejected")
         self._listed = KeyedTable(spark, f"{folder}/blacklist", BLACKLIST, ["user_id"], 200)
-        self._counts = KeyedTable(spark, f"{folder}/user_clicks", USER_CLICKS, USER_KEYS)
+        self._counts = KeyedTable(spark, f"{folder}/user_clicks", USER_CLICKS, USER_KEYS, 1000)
 
     def listed(self) -> DataFrame:
         """The users on the blacklist."""
@@ -99,10 +99,15 @@ class ClickGuard:
             .start()
         )
 
+    def drop_clean_before(self, batch_id: int) -> None:
+        """Remove stored clicks of earlier batches, once all queries are through with them."""
+        for number in self._clean.numbers():
+            if number < batch_id:
+                self._clean.drop(number)
+
     def _grow(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        self._counts.put(batch, batch_id)
-        found = users_to_list(batch, self._threshold)
-        if not found.isEmpty():
-            self._listed.put(found, batch_id)
-        batch.unpersist()
+        with whole_batch(batch) as changed:
+            self._counts.put(changed, batch_id)
+            found = users_to_list(changed, self._threshold)
+            if not found.isEmpty():
+                self._listed.put(found, batch_id)

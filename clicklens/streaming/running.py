@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,3 +27,18 @@ def running_counts(
         .agg(F.count("*").alias("clicks"))
         .drop("day_start")
     )
+
+
+@contextmanager
+def whole_batch(changed: DataFrame) -> Iterator[DataFrame]:
+    """A batch of running counts, to be used any number of times.
+
+    Only partitions that are computed carry their counts forward, so all of
+    them are, even if the batch turns out to be stored already.
+    """
+    changed.persist()
+    changed.write.format("noop").mode("overwrite").save()
+    try:
+        yield changed
+    finally:
+        changed.unpersist()
