@@ -15,8 +15,10 @@ def split_list(text: Column) -> Column:
     but an empty text is one empty piece.
     """
     body = F.rtrim(text, F.lit(","))
-    no_pieces = F.array().cast("array<string>")
-    return F.when((body == "") & (text != ""), no_pieces).otherwise(F.split(body, ","))
+    none = F.array().cast("array<string>")
+    # Most lists have no trailing comma and need no trimming.
+    trimmed = F.when(body == "", none).otherwise(F.split(body, ","))
+    return F.when(text.endswith(","), trimmed).otherwise(F.split(text, ","))
 
 
 def percent(part: Column, whole: Column, pattern: str) -> Column:

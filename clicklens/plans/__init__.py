@@ -1,4 +1,11 @@
-from clicklens.plans.ads import ad_clicks_per_area_city, ad_totals_per_area, area_top_ads, user_ad_clicks, users_to_list
+from clicklens.plans.ads import (
+    ad_clicks_per_area_city,
+    ad_totals_per_area,
+    area_top_ads,
+    count_fields,
+    user_ad_clicks,
+    users_to_list,
+)
 from clicklens.plans.daily import run_reports
 from clicklens.plans.reports import (
     area_product_top,
@@ -16,6 +23,7 @@ __all__ = [
     "category_session_counts",
     "category_top",
     "category_top_sessions",
+    "count_fields",
     "page_conversion",
     "run_reports",
     "user_ad_clicks",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,8 @@ def area_top_ads(area_counts: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def count_fields(city_counts: DataFrame) -> DataFrame:
-    """The counts as (field, value) texts, field ``day:area:city:ad``."""
-    return city_counts.select(
-        F.concat_ws(":", *CITY_KEYS).alias("field"), F.col("clicks").cast("string").alias("value")
+def count_fields(counts: DataFrame, keys: Sequence[str] = CITY_KEYS) -> DataFrame:
+    """Counts as (field, value) texts, the field's parts joined by ":"."""
+    return counts.select(
+        F.concat_ws(":", *keys).alias("field"), F.col("clicks").cast("string").alias("value")
     )

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "100000",
             "spark.checkpoint.dir": str(place / "shared"),
         },
     )

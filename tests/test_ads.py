@@ -8,10 +8,10 @@ from clicklens.plans import (
     ad_clicks_per_area_city,
     ad_totals_per_area,
     area_top_ads,
+    count_fields,
     user_ad_clicks,
     users_to_list,
 )
-from clicklens.plans.ads import count_fields
 from clicklens.sources import parse_clicks, rejected_lines
 
 DAY = 1553040000000  # 2019-03-20 00:00 UTC
@@ -57,6 +57,8 @@ def test_counts(lines, rows):
         {(k[0],) for k, n in per_user.items() if n >= 9}, key=repr)
     assert rows(count_fields(counted)) == sorted(
         [(":".join(k), str(n)) for k, n in per_city.items()], key=repr)
+    assert rows(count_fields(user_ad_clicks(parsed), ["user_id", "day", "ads_id"])) == sorted(
+        [(":".join(k), str(n)) for k, n in per_user.items()], key=repr)
 
     for row in area_top_ads(totals).collect():
         ranked = sorted(((ad, n) for (day, area, ad), n in per_area.items()
@@ -75,3 +77,21 @@ def test_exactly_three_of_equals(spark):
 def test_clicks_over_days_do_not_add_up(lines, rows):
     two = [f"{DAY + d * 86400000},n,c,u,1" for d in (0, 0, 1, 1)]
     assert rows(users_to_list(user_ad_clicks(parse_clicks(lines(*two))), 3)) == []
+
+
+def test_kafka_source_asks_for_the_topic():
+    from unittest.mock import MagicMock
+
+    from clicklens.sources import read_kafka_lines
+
+    # The connector is no part of Spark's own jars, so this checks only the options.
+    spark = MagicMock()
+    try:
+        read_kafka_lines(spark, "broker:9092", maxOffsetsPerTrigger="10")
+    except AssertionError:
+        pass  # columns cannot be built without a session
+    spark.readStream.format.assert_called_once_with("kafka")
+    spark.readStream.format.return_value.options.assert_called_once_with(**{
+        "kafka.bootstrap.servers": "broker:9092", "subscribe": "ads_log",
+        "kafka.group.id": "commerce-consumer-group", "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "10"})
