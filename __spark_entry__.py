@@ -26,7 +26,7 @@ from clicklens.sources import (
     rejected_lines,
     shop_views,
 )
-from clicklens.streaming import AdJobs
+from clicklens.streaming import AdJobs, StateOptions
 
 CONDITION = Condition.from_dict({
     "startDate": "2024-01-05",
@@ -241,7 +241,11 @@ def _stream(spark: SparkSession, folder: str, counters: bool) -> AdJobs:
     checkpoints for the next.
     """
     place = shared_dir(spark, "ads")
-    jobs = AdJobs(spark, f"{place}/jobs", CLICKS_TO_LIST)
+    # One process needs no more state partitions than it has cores; a cluster's
+    # number is what its session says.
+    context = spark.sparkContext
+    cores = context.defaultParallelism if context.master.startswith("local") else None
+    jobs = AdJobs(spark, f"{place}/jobs", CLICKS_TO_LIST, StateOptions(partitions=cores))
     lines = shop_views.ad_click_lines(spark, folder)
     second, third = STRETCHES
     day = F.col("day")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +31,7 @@ def build_session(
     master: str | None = None,
     hive: bool = False,
     warehouse_dir: str | None = None,
-    settings: dict[str, str] | None = None,
+    settings: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """A session with this package's settings; ``settings`` win over them."""
     builder = SparkSession.builder.appName(app_name)
@@ -44,12 +46,27 @@ def build_session(
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession, settings: dict[str, str] | None = None) -> None:
+def apply_settings(spark: SparkSession, settings: Mapping[str, str] = SESSION_SETTINGS) -> None:
     """Put the settings on a session that something else has built."""
-    for name, value in (settings or SESSION_SETTINGS).items():
+    for name, value in settings.items():
         spark.conf.set(name, value)
 
 
+@contextmanager
+def changed_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The settings for as long as the block runs."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    apply_settings(spark, settings)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name that every executor can reach.
 

@@ -1,5 +1,6 @@
 from clicklens.streaming.counters import AreaTopAds, CityCounts
 from clicklens.streaming.guard import ClickGuard
 from clicklens.streaming.jobs import AdJobs
+from clicklens.streaming.running import StateOptions
 
-__all__ = ["AdJobs", "AreaTopAds", "CityCounts", "ClickGuard"]
+__all__ = ["AdJobs", "AreaTopAds", "CityCounts", "ClickGuard", "StateOptions"]

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clicklens.plans.ads import AREA_KEYS, CITY_KEYS, area_top_ads
 from clicklens.sinks import KeyedTable
 from clicklens.sources.schemas import AREA_TOP_ADS, CITY_CLICKS
-from clicklens.streaming.running import running_counts, whole_batch
+from clicklens.streaming.running import StateOptions, start_counting
 
 COMPACT_EVERY = 200
 
@@ -17,9 +17,9 @@ COMPACT_EVERY = 200
 class CityCounts:
     """Clicks per day, area, city and ad."""
 
-    def __init__(self, spark: SparkSession, folder: str, keep_days: int | None = None):
+    def __init__(self, spark: SparkSession, folder: str, state: StateOptions = StateOptions()):
         self._folder = folder
-        self._keep_days = keep_days
+        self._state = state
         self._table = KeyedTable(spark, f"{folder}/counts", CITY_CLICKS, CITY_KEYS, COMPACT_EVERY)
 
     def read(self) -> DataFrame:
@@ -29,19 +29,11 @@ class CityCounts:
         self, clicks: DataFrame, output_mode: str = "update", **trigger
     ) -> StreamingQuery:
         """Keep the table; in mode "complete" each batch stores every key anew."""
-        return (
-            running_counts(clicks, CITY_KEYS, self._keep_days)
-            .writeStream.outputMode(output_mode)
-            .foreachBatch(self._store)
-            .option("checkpointLocation", f"{self._folder}/checkpoints/counts")
-            .trigger(**trigger)
-            .start()
+        return start_counting(
+            clicks, CITY_KEYS, self._table.put, f"{self._folder}/checkpoints/counts",
+            self._state, output_mode, trigger,
         )
 
-    def _store(self, batch: DataFrame, batch_id: int) -> None:
-        with whole_batch(batch) as changed:
-            self._table.put(changed, batch_id)
-
 
 class AreaTopAds:
     """The ads with the most clicks of each day and area, as JSON text.
@@ -52,11 +44,11 @@ class AreaTopAds:
     """
 
     def __init__(
-        self, spark: SparkSession, folder: str, k: int = 3, keep_days: int | None = None
+        self, spark: SparkSession, folder: str, k: int = 3, state: StateOptions = StateOptions()
     ):
         self._folder = folder
         self._k = k
-        self._keep_days = keep_days
+        self._state = state
         self._table = KeyedTable(
             spark, f"{folder}/top", AREA_TOP_ADS, ["day", "area"], COMPACT_EVERY
         )
@@ -65,25 +57,20 @@ class AreaTopAds:
         return self._table.read().select("day", "area", "top3_json")
 
     def start(self, clicks: DataFrame, **trigger) -> StreamingQuery:
-        return (
-            running_counts(clicks, AREA_KEYS, self._keep_days)
-            .writeStream.outputMode("update")
-            .foreachBatch(self._merge)
-            .option("checkpointLocation", f"{self._folder}/checkpoints/top")
-            .trigger(**trigger)
-            .start()
+        return start_counting(
+            clicks, AREA_KEYS, self._merge, f"{self._folder}/checkpoints/top",
+            self._state, trigger=trigger,
         )
 
-    def _merge(self, batch: DataFrame, batch_id: int) -> None:
-        with whole_batch(batch) as changed:
-            if self._table.has(batch_id):
-                return
-            touched = changed.select("day", "area").distinct()
-            former = (
-                self._table.read().join(touched, ["day", "area"], "left_semi")
-                .select("day", "area", F.inline("top"))
-            )
-            candidates = former.unionByName(changed).groupBy(*AREA_KEYS).agg(
-                F.max("clicks").alias("clicks")
-            )
-            self._table.put(area_top_ads(candidates, self._k), batch_id)
+    def _merge(self, changed: DataFrame, batch_id: int) -> None:
+        if self._table.has(batch_id):
+            return
+        touched = changed.select("day", "area").distinct()
+        former = (
+            self._table.read().join(touched, ["day", "area"], "left_semi")
+            .select("day", "area", F.inline("top"))
+        )
+        candidates = former.unionByName(changed).groupBy(*AREA_KEYS).agg(
+            F.max("clicks").alias("clicks")
+        )
+        self._table.put(area_top_ads(candidates, self._k), batch_id)

@@ -20,7 +20,7 @@ from clicklens.plans.ads import USER_KEYS, users_to_list
 from clicklens.sinks import KeyedTable, SharedFolder
 from clicklens.sources import parse_clicks, read_clicks, rejected_lines
 from clicklens.sources.schemas import AD_CLICK, BLACKLIST, USER_CLICKS
-from clicklens.streaming.running import running_counts, whole_batch
+from clicklens.streaming.running import StateOptions, start_counting
 
 
 class ClickGuard:
@@ -31,12 +31,12 @@ class ClickGuard:
         spark: SparkSession,
         folder: str,
         threshold: int = BLACKLIST_THRESHOLD,
-        keep_days: int | None = None,
+        state: StateOptions = StateOptions(),
     ):
         self._spark = spark
         self._folder = folder
         self._threshold = threshold
-        self._keep_days = keep_days
+        self._state = state
         self._clean = SharedFolder(spark, f"{folder}/clean")
         self._rejected = SharedFolder(spark, f"{folder}/rejected")
         self._listed = KeyedTable(spark, f"{folder}/blacklist", BLACKLIST, ["user_id"], 200)
@@ -70,12 +70,9 @@ class ClickGuard:
 
     def start_growth(self) -> StreamingQuery:
         """Count the clicks that passed and list users; runs as soon as there are any."""
-        return (
-            running_counts(self.clean_stream(), USER_KEYS, self._keep_days)
-            .writeStream.outputMode("update")
-            .foreachBatch(self._grow)
-            .option("checkpointLocation", f"{self._folder}/checkpoints/growth")
-            .start()
+        return start_counting(
+            self.clean_stream(), USER_KEYS, self._grow, f"{self._folder}/checkpoints/growth",
+            self._state,
         )
 
     def start_filter(self, lines: DataFrame, growth: StreamingQuery, **trigger) -> StreamingQuery:
@@ -105,9 +102,8 @@ class ClickGuard:
             if number < batch_id:
                 self._clean.drop(number)
 
-    def _grow(self, batch: DataFrame, batch_id: int) -> None:
-        with whole_batch(batch) as changed:
-            self._counts.put(changed, batch_id)
-            found = users_to_list(changed, self._threshold)
-            if not found.isEmpty():
-                self._listed.put(found, batch_id)
+    def _grow(self, changed: DataFrame, batch_id: int) -> None:
+        self._counts.put(changed, batch_id)
+        found = users_to_list(changed, self._threshold)
+        if not found.isEmpty():
+            self._listed.put(found, batch_id)

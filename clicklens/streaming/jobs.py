@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clicklens.functions.fixed import BATCH_INTERVAL, BLACKLIST_THRESHOLD
-from clicklens.session import STATE_SETTINGS, apply_settings
 from clicklens.streaming.counters import AreaTopAds, CityCounts
 from clicklens.streaming.guard import ClickGuard
+from clicklens.streaming.running import StateOptions
 
 
 class AdJobs:
@@ -22,13 +22,12 @@ class AdJobs:
         spark: SparkSession,
         folder: str,
         threshold: int = BLACKLIST_THRESHOLD,
-        keep_days: int | None = None,
+        state: StateOptions = StateOptions(),
     ):
-        apply_settings(spark, STATE_SETTINGS)
         self._spark = spark
-        self.guard = ClickGuard(spark, f"{folder}/guard", threshold, keep_days)
-        self.city_counts = CityCounts(spark, f"{folder}/city", keep_days)
-        self.area_top = AreaTopAds(spark, f"{folder}/area", keep_days=keep_days)
+        self.guard = ClickGuard(spark, f"{folder}/guard", threshold, state)
+        self.city_counts = CityCounts(spark, f"{folder}/city", state)
+        self.area_top = AreaTopAds(spark, f"{folder}/area", state=state)
 
     def start(self, lines: DataFrame, interval: str = BATCH_INTERVAL) -> list[StreamingQuery]:
         """Run for good, with a micro-batch per interval."""

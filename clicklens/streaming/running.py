@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from clicklens.session import STATE_SETTINGS, changed_settings
 
-def running_counts(
-    clicks: DataFrame, keys: Sequence[str], keep_days: int | None = None
-) -> DataFrame:
-    """Clicks per key (``day`` among them) over all batches so far.
 
-    Counts are kept for ever by default, and a late click still adds to its own
+@dataclass(frozen=True)
+class StateOptions:
+    """How running counts are kept.
+
+    By default they are kept for ever, and a late click still adds to its own
     day. With ``keep_days``, days that far behind the newest click leave the
     state, and clicks on them are no longer counted.
+
+    ``partitions`` is the number of state partitions, else the session's number
+    of shuffle partitions. It is fixed by a query's first batch for good, so
+    choose it for the keys to come: a few per core of the cluster.
     """
+
+    keep_days: int | None = None
+    partitions: int | None = None
+
+
+def running_counts(
+    clicks: DataFrame, keys: Sequence[str], keep_days: int | None = None
+) -> DataFrame:
+    """Clicks per key (``day`` among them) over all batches so far."""
     if keep_days is None:
         return clicks.groupBy(*keys).agg(F.count("*").alias("clicks"))
     return (
@@ -29,16 +45,47 @@ def running_counts(
     )
 
 
+def start_counting(
+    clicks: DataFrame,
+    keys: Sequence[str],
+    store: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    state: StateOptions,
+    output_mode: str = "update",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Count clicks per key and give each batch's counts to ``store(counts, batch_id)``."""
+
+    def store_whole(batch: DataFrame, batch_id: int) -> None:
+        with _whole(batch) as counts:
+            store(counts, batch_id)
+
+    writer = (
+        running_counts(clicks, keys, state.keep_days)
+        .writeStream.outputMode(output_mode)
+        .foreachBatch(store_whole)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    settings = dict(STATE_SETTINGS)
+    if state.partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state.partitions)
+    # A query takes its settings from the session when it starts.
+    with changed_settings(clicks.sparkSession, settings):
+        return writer.start()
+
+
 @contextmanager
-def whole_batch(changed: DataFrame) -> Iterator[DataFrame]:
+def _whole(batch: DataFrame) -> Iterator[DataFrame]:
     """A batch of running counts, to be used any number of times.
 
     Only partitions that are computed carry their counts forward, so all of
     them are, even if the batch turns out to be stored already.
     """
-    changed.persist()
-    changed.write.format("noop").mode("overwrite").save()
+    batch.persist()
+    batch.write.format("noop").mode("overwrite").save()
     try:
-        yield changed
+        yield batch
     finally:
-        changed.unpersist()
+        batch.unpersist()

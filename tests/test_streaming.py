@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clicklens.plans import ad_clicks_per_area_city, ad_totals_per_area, area_top_ads
 from clicklens.session import shared_dir
 from clicklens.sources import read_lines
-from clicklens.streaming import AdJobs, CityCounts
+from clicklens.streaming import AdJobs, CityCounts, StateOptions
 from clicklens.streaming.running import running_counts
 
 DAY = 1553040000000  # 2019-03-20 00:00 UTC
@@ -168,12 +168,13 @@ def test_jobs_run_side_by_side(stream, rows):
 
 def test_days_can_leave_the_state(spark, stream):
     s = stream()
-    counts = CityCounts(spark, f"{s.place}/short", keep_days=1)
+    counts = CityCounts(spark, f"{s.place}/short", StateOptions(keep_days=1, partitions=2))
     for ts in (DAY, DAY + 5 * 86400000, DAY + 6 * 86400000, DAY):
         s.run(line("u", ts=ts), counters=False)
         counts.start(s.jobs.guard.clean_stream(), availableNow=True).awaitTermination()
     by_day = {row.day: row.clicks for row in counts.read().collect()}
     assert by_day == {"2019-03-20": 1, "2019-03-25": 1, "2019-03-26": 1}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
 def test_old_clean_clicks_can_be_dropped(stream):
