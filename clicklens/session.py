@@ -22,6 +22,9 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the Python line of every column expression costs milliseconds
+    # each, and a streaming batch builds its plans anew.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     **STATE_SETTINGS,
 }
 
@@ -47,9 +50,10 @@ def build_session(
 
 
 def apply_settings(spark: SparkSession, settings: Mapping[str, str] = SESSION_SETTINGS) -> None:
-    """Put the settings on a session that something else has built."""
+    """Put the settings on a session that something else has built, where it still can be."""
     for name, value in settings.items():
-        spark.conf.set(name, value)
+        if spark.conf.isModifiable(name):
+            spark.conf.set(name, value)
 
 
 @contextmanager
