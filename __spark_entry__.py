@@ -136,19 +136,19 @@ def _city_remark_sql(spark, folder):
     for name, table in shop_views.shop_tables(spark, folder).items():
         table.createOrReplaceTempView(name)
     return spark.sql("""
-        WITH t1 AS (
-          SELECT c.area, c.city_name, v.click_product_id, count(*) AS n
-          FROM city_info c JOIN user_visit_action v ON c.city_id = v.city_id
-          WHERE v.click_product_id > -1 GROUP BY ALL),
-        t2 AS (
-          SELECT area, click_product_id, sum(n) AS click_count,
+        WITH per_city AS (
+          SELECT area, city_name, click_product_id AS product_id, count(*) AS n
+          FROM user_visit_action JOIN city_info USING (city_id)
+          WHERE click_product_id > -1 GROUP BY ALL),
+        per_area AS (
+          SELECT area, product_id, sum(n) AS click_count,
                  city_remark(map_from_entries(collect_list(struct(city_name, n)))) AS remark
-          FROM t1 GROUP BY area, click_product_id),
-        t3 AS (
-          SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS rank FROM t2)
-        SELECT t3.area, p.product_name, t3.click_count, t3.remark, t3.rank
-        FROM t3 JOIN product_info p ON t3.click_product_id = p.product_id
-        WHERE t3.rank <= 3
+          FROM per_city GROUP BY area, product_id),
+        ranked AS (
+          SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS rank
+          FROM per_area)
+        SELECT area, product_name, click_count, remark, rank
+        FROM ranked JOIN product_info USING (product_id) WHERE rank <= 3
     """)
 
 
@@ -355,9 +355,10 @@ ad_click AS (
 
 _SELECTED = f"""
 selected AS (
-  SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id
-  WHERE v.date >= '{CONDITION.startDate}' AND v.date <= '{CONDITION.endDate}'
-    AND u.age >= {CONDITION.startAge} AND u.age <= {CONDITION.endAge})"""
+  SELECT * FROM user_visit_action JOIN (
+    SELECT user_id FROM user_info
+    WHERE age BETWEEN {CONDITION.startAge} AND {CONDITION.endAge}) USING (user_id)
+  WHERE date BETWEEN '{CONDITION.startDate}' AND '{CONDITION.endDate}')"""
 
 _CATEGORIES = f"""
 touched AS (
@@ -498,11 +499,12 @@ def oracle_sql() -> dict[str, str]:
     return {
         "actions_filtered": _with("SELECT * FROM selected", _SELECTED),
         "actions_filtered_extra": _with(f"""
-            SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id
-            WHERE v.date >= '{EXTRA.startDate}' AND u.gender = '{EXTRA.gender}'
-              AND u.professional IN ({extra_jobs})
-              AND CAST(v.city_id AS VARCHAR) IN ({extra_cities})
-              AND CAST(v.click_category_id AS VARCHAR) IN ({extra_categories})"""),
+            SELECT * FROM user_visit_action JOIN (
+              SELECT user_id FROM user_info
+              WHERE gender = '{EXTRA.gender}' AND professional IN ({extra_jobs})) USING (user_id)
+            WHERE date >= '{EXTRA.startDate}'
+              AND CAST(city_id AS VARCHAR) IN ({extra_cities})
+              AND CAST(click_category_id AS VARCHAR) IN ({extra_categories})"""),
         "category_action_counts": _with("SELECT * FROM category_counts", _SELECTED, _CATEGORIES),
         "category_top10": _with("SELECT * FROM top_categories", _SELECTED, _CATEGORIES),
         "category_session_counts": _with("SELECT * FROM session_counts", _SELECTED, _CATEGORIES),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicklens.functions import pairs_json
@@ -36,14 +36,17 @@ def ad_totals_per_area(city_counts: DataFrame) -> DataFrame:
     return city_counts.groupBy(*AREA_KEYS).agg(F.sum("clicks").alias("clicks"))
 
 
-def area_top_ads(area_counts: DataFrame, k: int = 3) -> DataFrame:
-    """(day, area, top, top3_json): at most ``k`` ads with the most clicks, in order."""
+def area_top_ads(area_counts: DataFrame, k: int = 3, *also: Column) -> DataFrame:
+    """(day, area, top, top3_json): at most ``k`` ads with the most clicks, in order.
+
+    ``also`` are further aggregates over these ads.
+    """
     order = [F.desc("clicks"), F.asc("ads_id")]
     in_order = F.array_sort(F.collect_list(F.struct("position", "ads_id", "clicks")))
+    ads = F.transform(in_order, lambda ad: F.struct(ad["ads_id"], ad["clicks"]))
     return (
         top_within(area_counts, ["day", "area"], order, k)
-        .groupBy("day", "area")
-        .agg(F.transform(in_order, lambda ad: F.struct(ad["ads_id"], ad["clicks"])).alias("top"))
+        .groupBy("day", "area").agg(ads.alias("top"), *also)
         .withColumn("top3_json", pairs_json(F.col("top"), "ads_id", "clicks"))
     )
 

@@ -65,12 +65,14 @@ class AreaTopAds:
     def _merge(self, changed: DataFrame, batch_id: int) -> None:
         if self._table.has(batch_id):
             return
-        touched = changed.select("day", "area").distinct()
-        former = (
-            self._table.read().join(touched, ["day", "area"], "left_semi")
-            .select("day", "area", F.inline("top"))
+        former = self._table.read().select(
+            "day", "area", F.inline("top"), F.lit(False).alias("is_new")
         )
-        candidates = former.unionByName(changed).groupBy(*AREA_KEYS).agg(
-            F.max("clicks").alias("clicks")
+        candidates = (
+            former.unionByName(changed.withColumn("is_new", F.lit(True)))
+            .groupBy(*AREA_KEYS)
+            .agg(F.max("clicks").alias("clicks"), F.max("is_new").alias("is_new"))
         )
-        self._table.put(area_top_ads(candidates, self._k), batch_id)
+        # Where no new count is among the top, the top is as it was.
+        top = area_top_ads(candidates, self._k, F.max("is_new").alias("is_new"))
+        self._table.put(top.where("is_new"), batch_id)

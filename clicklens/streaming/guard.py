@@ -83,11 +83,14 @@ class ClickGuard:
                 return
             growth.processAllAvailable()
             batch.persist()
-            rejected = rejected_lines(batch)
-            if not rejected.isEmpty():
-                self._rejected.publish(rejected, batch_id)
-            self._clean.publish(without_listed(parse_clicks(batch), self.listed()), batch_id)
-            batch.unpersist()
+            try:
+                rejected = rejected_lines(batch)
+                if not rejected.isEmpty():
+                    self._rejected.publish(rejected, batch_id)
+                clean = without_listed(parse_clicks(batch), self.listed())
+                self._clean.publish(clean, batch_id)
+            finally:
+                batch.unpersist()
 
         return (
             lines.writeStream.foreachBatch(pass_on)

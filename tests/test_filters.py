@@ -67,10 +67,8 @@ def test_condition_from_values(spark, tmp_path):
     assert Condition.from_dict({"startAge": ""}).startAge == 0
     assert Condition.from_json('{"startDate": "2019-03-20"}').startDate == "2019-03-20"
 
-    (tmp_path / "condition.json").write_text(
-        '{startDate:"2019-03-20",\n endDate:"2019-03-25", startAge: "20", endAge: "50",\n'
-        ' professionals: "", city: "", gender:"", keywords:"", categoryIds:"",\n'
-        ' targetPageFlow:"1,2,3,4,5,6,7"}'
-    )
-    read = Condition.from_file(spark, str(tmp_path / "condition.json"))
-    assert read == Condition("2019-03-20", "2019-03-25", 20, 50, targetPageFlow="1,2,3,4,5,6,7")
+    path = tmp_path / "condition.json"
+    path.write_text('{startDate: "2020-01-01", startAge: "18",\n "endAge": 40, gender: "", '
+                    'targetPageFlow: "3,2,1"}')
+    assert Condition.from_file(spark, str(path)) == Condition(
+        startDate="2020-01-01", startAge=18, endAge=40, targetPageFlow="3,2,1")
