@@ -170,11 +170,12 @@ def _area_product_top3(spark, folder):
 def _stored_tables(spark, folder):
     """The log and the users as catalog tables, read back by name and filtered."""
     place = shared_dir(spark, "tables")
-    tables = shop_views.shop_tables(spark, folder)
-    for name, table in tables.items():
+    database = "clicklens_queries"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}/database'")
+    for name, table in shop_views.shop_tables(spark, folder).items():
         days = ["date"] if name == "user_visit_action" else []
-        save_table(table, name, partition_by=days, path=f"{place}/{name}")
-    found = load_tables(spark, register=False)
+        save_table(table, f"{database}.{name}", partition_by=days, path=f"{place}/{name}")
+    found = load_tables(spark, database=database, register=False)
     return operators.filtered_actions(found["user_visit_action"], found["user_info"], CONDITION)
 
 

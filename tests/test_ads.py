@@ -1,6 +1,7 @@
 import json
 import random
 from collections import Counter
+from unittest.mock import MagicMock
 
 import pytest
 
@@ -12,7 +13,7 @@ from clicklens.plans import (
     user_ad_clicks,
     users_to_list,
 )
-from clicklens.sources import parse_clicks, rejected_lines
+from clicklens.sources import parse_clicks, read_kafka_lines, rejected_lines
 
 DAY = 1553040000000  # 2019-03-20 00:00 UTC
 
@@ -79,19 +80,12 @@ def test_clicks_over_days_do_not_add_up(lines, rows):
     assert rows(users_to_list(user_ad_clicks(parse_clicks(lines(*two))), 3)) == []
 
 
-def test_kafka_source_asks_for_the_topic():
-    from unittest.mock import MagicMock
-
-    from clicklens.sources import read_kafka_lines
-
+def test_kafka_source_asks_for_the_topic(spark):
     # The connector is no part of Spark's own jars, so this checks only the options.
-    spark = MagicMock()
-    try:
-        read_kafka_lines(spark, "broker:9092", maxOffsetsPerTrigger="10")
-    except AssertionError:
-        pass  # columns cannot be built without a session
-    spark.readStream.format.assert_called_once_with("kafka")
-    spark.readStream.format.return_value.options.assert_called_once_with(**{
+    session = MagicMock()
+    read_kafka_lines(session, "broker:9092", maxOffsetsPerTrigger="10")
+    session.readStream.format.assert_called_once_with("kafka")
+    session.readStream.format.return_value.options.assert_called_once_with(**{
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "ads_log",
         "kafka.group.id": "commerce-consumer-group", "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "10"})

@@ -44,8 +44,8 @@ def test_unfinished_write_is_invisible_and_replaced(spark, rows):
 def keyed(spark):
     schema = T.StructType().add("k", "string").add("n", "long")
 
-    def make(path, keys=("k",), compact_every=None):
-        return KeyedTable(spark, path, schema if keys == ("k",) else schema, keys, compact_every)
+    def make(path, compact_every=None):
+        return KeyedTable(spark, path, schema, ["k"], compact_every)
 
     return make
 
