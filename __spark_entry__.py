@@ -7,6 +7,7 @@ Every query reads the whole tables of the given folder, through the views of
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,8 +171,8 @@ def _area_product_top3(spark, folder):
 def _stored_tables(spark, folder):
     """The log and the users as catalog tables, read back by name and filtered."""
     place = shared_dir(spark, "tables")
-    database = "clicklens_queries"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}/database'")
+    database = f"clicklens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{place}/database'")
     for name, table in shop_views.shop_tables(spark, folder).items():
         days = ["date"] if name == "user_visit_action" else []
         save_table(table, f"{database}.{name}", partition_by=days, path=f"{place}/{name}")
