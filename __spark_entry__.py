@@ -7,6 +7,7 @@ Every query reads the whole tables of the given folder, through the views of
 from __future__ import annotations
 
 import functools
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -49,6 +50,13 @@ CLICKS_TO_LIST = 2
 STRETCHES = ("2024-01-11", "2024-01-21")
 
 
+# The operators on training data are a part that may be left out as a whole.
+_LLM = importlib.util.find_spec("clicklens.llm") is not None
+if _LLM:
+    from clicklens.llm import queries as llm_queries
+    from clicklens.llm import sql as llm_sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Top products of each area, on the smallest tables."""
     return _area_product_top3(spark, "/root/testdata/sf0.001")
@@ -279,6 +287,13 @@ def _area_ads_top3(spark, folder):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name -> (spark, folder of the tables) -> result."""
+    return {
+        **(llm_queries.QUERIES if _LLM else {}),
+        **_shop_queries(),
+    }
+
+
+def _shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: _query(make)
         for name, make in {
@@ -499,6 +514,7 @@ def oracle_sql() -> dict[str, str]:
     extra_categories = ", ".join(f"'{c}'" for c in EXTRA.categoryIds.split(","))
     extra_jobs = ", ".join(f"'{p}'" for p in EXTRA.professionals.split(","))
     return {
+        **(llm_sql.ORACLE_SQL if _LLM else {}),
         "actions_filtered": _with("SELECT * FROM selected", _SELECTED),
         "actions_filtered_extra": _with(f"""
             SELECT * FROM user_visit_action JOIN (
