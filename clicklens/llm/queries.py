@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import exact, fingerprints, langid, lm, mixing, pieces, quality, secrets
+from clicklens.llm import exact, fingerprints, langid, lm, mixing, near, pieces, quality, secrets, suffixes
 from clicklens.llm.common import remainder, table
 
 # Documents searched for near fingerprints: every id divisible by this, against all.
@@ -76,11 +76,22 @@ def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, class_id, kept of every document."""
+    return near.near_groups(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "kept")
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate of every document: doc_id, start, length, digest, probability, is_secret."""
     return secrets.scan_secrets(table(spark, folder, "documents"), remainder("doc_id", 4) != 2)
 
 
+def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    return suffixes.repeated_spans(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,5 +100,7 @@ QUERIES = {
     "op5_lm": op5_lm,
     "op6_pieces": op6_pieces,
     "op7_fingerprints": op7_fingerprints,
+    "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
+    "op10_suffixes": op10_suffixes,
 }
