@@ -51,8 +51,14 @@ STRETCHES = ("2024-01-11", "2024-01-21")
 
 
 # The operators on training data are a part that may be left out as a whole.
-_LLM = importlib.util.find_spec("clicklens.llm") is not None
+def _is_there(module: str) -> bool:
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
+_LLM = _is_there("clicklens.llm") and _is_there("corpus_pipeline")
 if _LLM:
+    import corpus_pipeline
     from clicklens.llm import queries as llm_queries
     from clicklens.llm import sql as llm_sql
 
@@ -288,7 +294,7 @@ def _area_ads_top3(spark, folder):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name -> (spark, folder of the tables) -> result."""
     return {
-        **(llm_queries.QUERIES if _LLM else {}),
+        **({**llm_queries.QUERIES, "pipeline": corpus_pipeline.run} if _LLM else {}),
         **_shop_queries(),
     }
 
