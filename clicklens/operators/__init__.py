@@ -9,7 +9,6 @@ from clicklens.operators.journeys import (
     flow_pages,
     flow_pairs,
     flow_steps,
-    hot_sessions,
     page_jumps,
     page_visits,
 )
@@ -24,7 +23,6 @@ __all__ = [
     "flow_pages",
     "flow_pairs",
     "flow_steps",
-    "hot_sessions",
     "page_jumps",
     "page_visits",
     "rank_within",

@@ -1,10 +1,9 @@
 """Page sequences of sessions.
 
 A session is usually a handful of rows, but one session id (a crawler, a
-missing id) may hold a large part of the log. Sessions above ``hot_rows`` rows
-are therefore cut into slices of one second: successors are found inside the
-slices first, and then only the first and last row of each slice are put in
-order per session. Every other session is one slice.
+missing id) may hold a large part of the log. All sessions are therefore cut
+into slices of time: successors are found inside the slices first, and then
+only the first and last row of each slice are put in order per session.
 """
 
 from __future__ import annotations
@@ -12,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SESSION_ROWS = 1_000_000
-MOST_HOT_SESSIONS = 10_000
-SECOND = len("yyyy-MM-dd HH:mm:ss")
+# Slices are as long as a text of the action time cut to so many characters says.
+HOUR, SECOND = len("yyyy-MM-dd HH"), len("yyyy-MM-dd HH:mm:ss")
 
 
 def _is_id(text: str) -> bool:
@@ -41,38 +39,16 @@ def page_visits(actions: DataFrame, flow: str) -> DataFrame:
     )
 
 
-def hot_sessions(
-    actions: DataFrame, hot_rows: int = HOT_SESSION_ROWS, most: int = MOST_HOT_SESSIONS
-) -> DataFrame:
-    """Sessions with more than ``hot_rows`` rows, the ``most`` largest of them.
-
-    The limit bounds what ``flow_steps`` broadcasts. Results do not depend on
-    it: a session beyond it has less than one ``most``-th of all rows, and is
-    simply not sliced.
-    """
-    return (
-        actions.groupBy("session_id").agg(F.count("*").alias("n"))
-        .where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(most).select("session_id")
-    )
-
-
-def flow_steps(
-    actions: DataFrame,
-    flow: str,
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_SESSION_ROWS,
-) -> DataFrame:
+def flow_steps(actions: DataFrame, flow: str, slice_by: int = HOUR) -> DataFrame:
     """(page_id, next_page, n) for the pages of the flow, from one pass over the log.
 
     ``n`` counts the visits of a page after which the session's next action was
     on ``next_page``; visits that were not followed by a pair of the flow have
     ``next_page`` null. Next is by ``action_time``, equal times by ``page_id``.
 
-    ``hot`` names the sessions to slice. It changes the work, never the result,
-    so it may be computed from any rows that contain ``actions``.
+    One task holds a slice of a session, then its slices' edges; how long
+    slices are (``slice_by``) changes the work, never the result.
     """
-    if hot is None:
-        hot = hot_sessions(actions, hot_rows)
     pages, pairs = flow_pages(flow), flow_pairs(flow)
 
     def in_flow(following: Column) -> Column:
@@ -84,24 +60,20 @@ def flow_steps(
         ]
         return F.when(step.isin(*wanted), following) if wanted else F.lit(None).cast("bigint")
 
-    is_hot = F.col("is_hot").isNotNull()
-    marked = F.broadcast(hot.select(F.col("session_id").alias("hot_id"), F.lit(True).alias("is_hot")))
-    sliced = (
-        actions.select("session_id", "action_time", "page_id")
-        .join(marked, F.col("session_id").eqNullSafe(F.col("hot_id")), "left")
-        .withColumn("slice", F.when(is_hot, F.substring("action_time", 1, SECOND)))
+    sliced = actions.select(
+        "session_id", "action_time", "page_id",
+        F.substring("action_time", 1, slice_by).alias("slice"),
     )
-
     in_slice = Window.partitionBy("session_id", "slice").orderBy("action_time", "page_id")
     followed = sliced.select(
-        "session_id", "action_time", "page_id", "is_hot",
+        "session_id", "action_time", "page_id",
         F.lead("page_id").over(in_slice).alias("following"),
         F.lead(F.lit(True)).over(in_slice).isNull().alias("is_last"),
         (F.row_number().over(in_slice) == 1).alias("is_first"),
     )
 
     # Rows inside a slice are counted by pair at once; the slices' edges stay rows.
-    is_edge = is_hot & (F.col("is_first") | F.col("is_last"))
+    is_edge = F.col("is_first") | F.col("is_last")
     counted = (
         followed.where(F.col("page_id").isin(pages) | is_edge)
         .groupBy(
@@ -129,8 +101,8 @@ def flow_steps(
     )
 
 
-def page_jumps(actions: DataFrame, flow: str, **hot) -> DataFrame:
+def page_jumps(actions: DataFrame, flow: str, slice_by: int = HOUR) -> DataFrame:
     """How often a session went from a page straight to the next one of the flow."""
-    return flow_steps(actions, flow, **hot).where(F.col("next_page").isNotNull()).select(
+    return flow_steps(actions, flow, slice_by).where(F.col("next_page").isNotNull()).select(
         "page_id", "next_page", F.col("n").alias("jumps")
     )

@@ -7,8 +7,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicklens.operators import filtered_actions, hot_sessions
-from clicklens.operators.filters import date_predicates
+from clicklens.operators import filtered_actions
 from clicklens.plans.reports import (
     area_product_top,
     category_top,
@@ -53,13 +52,7 @@ def run_reports(
     write(category_top_sessions(selected, top, task_id), "category_top10_session_count")
 
     if condition.targetPageFlow:
-        # Counting rows per session before the user filter saves a second join.
-        dated = actions
-        for bound in date_predicates(condition):
-            dated = dated.where(bound)
-        rates = page_conversion(
-            selected, condition.targetPageFlow, task_id, hot_sessions(dated)
-        )
+        rates = page_conversion(selected, condition.targetPageFlow, task_id)
         write(rates, "page_conversion_rate")
 
     area = area_product_top(actions, tables["city_info"], tables["product_info"])

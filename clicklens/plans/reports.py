@@ -58,9 +58,7 @@ def category_top_sessions(
     )
 
 
-def page_conversion(
-    actions: DataFrame, flow: str, task_id: str, hot: DataFrame | None = None
-) -> DataFrame:
+def page_conversion(actions: DataFrame, flow: str, task_id: str) -> DataFrame:
     """Share of a page's visits that went straight on to the flow's next page.
 
     Visits and jumps are counted in the same pass over the log. A pair that no
@@ -68,7 +66,7 @@ def page_conversion(
     """
     visits = F.sum("n").over(Window.partitionBy("page_id"))
     return (
-        flow_steps(actions, flow, hot)
+        flow_steps(actions, flow)
         .withColumn("visits", visits)
         .where(F.col("next_page").isNotNull())
         .select(

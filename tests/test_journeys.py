@@ -8,7 +8,6 @@ from clicklens.operators import (
     flow_pages,
     flow_pairs,
     flow_steps,
-    hot_sessions,
     page_jumps,
     page_visits,
 )
@@ -70,9 +69,9 @@ def test_flow_of_one_page_has_no_jumps(make_actions):
     assert found_steps(flow_steps(log, "1")) == {(1, None): 2}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 4, 1_000_000])
+@pytest.mark.parametrize("slice_by", [10, 13, 19, 21])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_slicing_changes_nothing(make_actions, hot_rows, seed):
+def test_slicing_changes_nothing(make_actions, slice_by, seed):
     # Few seconds and few pages, so that equal times, equal rows, slices of one
     # row and pairs across slices all occur; a third of the rows has no session.
     draw = random.Random(seed)
@@ -82,19 +81,13 @@ def test_slicing_changes_nothing(make_actions, hot_rows, seed):
         for _ in range(120)
     ] + visits("single", [2])
     flow = "1,2,2,3,1"
-    assert found_steps(flow_steps(make_actions(log), flow, hot_rows=hot_rows)) == expected_steps(
+    assert found_steps(flow_steps(make_actions(log), flow, slice_by=slice_by)) == expected_steps(
         log, flow)
 
 
-def test_any_set_of_hot_sessions_is_right(spark, make_actions):
-    log = visits("x", [1, 2, 3, 1, 2]) + visits("y", [1, 2, 1])
-    expected = expected_steps(log, "1,2,3")
-    for named in (["x"], ["y", "z"], ["x", "y"]):
-        hot = spark.createDataFrame([(n,) for n in named], "session_id string")
-        assert found_steps(flow_steps(make_actions(log), "1,2,3", hot)) == expected
-
-
-def test_hot_sessions_are_the_largest(make_actions, rows):
-    log = make_actions(visits("x", [1] * 5) + visits("y", [1] * 3) + visits("z", [1] * 4))
-    assert rows(hot_sessions(log, 3)) == [("x",), ("z",)]
-    assert rows(hot_sessions(log, 3, most=1)) == [("x",)]
+def test_a_session_over_many_days(make_actions):
+    log = [
+        {"session_id": "x", "page_id": 1 + i % 3, "action_time": f"2019-03-{20 + i // 4} 1{i % 4}:00:00"}
+        for i in range(32)
+    ]
+    assert found_steps(flow_steps(make_actions(log), "1,2,3")) == expected_steps(log, "1,2,3")

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from clicklens import plans
-from clicklens.operators import filtered_actions, hot_sessions, page_visits
+from clicklens.operators import filtered_actions, page_visits
 from clicklens.session import shared_dir
 from clicklens.sources import Condition
 from clicklens.sources.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION
@@ -80,10 +80,9 @@ def test_sums_come_before_joins(stored, large):
 
 
 def test_log_is_scanned_once_for_visits_and_jumps(stored):
-    hot = hot_sessions(stored["log"])
-    plan = plan_of(plans.page_conversion(stored["log"], "1,2,3", "t", hot))
-    assert sorted(columns_read(plan, "log"), key=len) == [
-        {"session_id"}, {"session_id", "page_id", "action_time"}]
+    plan = plan_of(plans.page_conversion(stored["log"], "1,2,3", "t"))
+    assert columns_read(plan, "log") == [{"session_id", "page_id", "action_time"}]
+    assert "BroadcastExchange" not in plan
 
 
 def test_no_pairing_of_all_rows_and_no_python(stored, large):
