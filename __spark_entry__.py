@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clicklens import operators, plans
 from clicklens.functions import register_sql_functions
+from clicklens.operators.journeys import SECOND
 from clicklens.plans import ads
 from clicklens.plans.reports import clicks_per_city
 from clicklens.session import apply_settings, shared_dir
@@ -121,8 +122,8 @@ def _page_jumps(spark, folder):
 
 
 def _page_jumps_sliced(spark, folder):
-    """The same with every session of more than two rows treated as a hot one."""
-    return operators.page_jumps(_selected(spark, folder), CONDITION.targetPageFlow, hot_rows=2)
+    """The same with slices of a second: their length changes nothing."""
+    return operators.page_jumps(_selected(spark, folder), CONDITION.targetPageFlow, SECOND)
 
 
 def _page_conversion(spark, folder):
@@ -155,15 +156,18 @@ def _city_remark_sql(spark, folder):
           SELECT area, city_name, click_product_id AS product_id, count(*) AS n
           FROM user_visit_action JOIN city_info USING (city_id)
           WHERE click_product_id > -1 GROUP BY ALL),
-        per_area AS (
+        ranked AS (
           SELECT area, product_id, sum(n) AS click_count,
-                 city_remark(map_from_entries(collect_list(struct(city_name, n)))) AS remark
+                 rank() OVER (PARTITION BY area ORDER BY sum(n) DESC) AS rank
           FROM per_city GROUP BY area, product_id),
-        ranked AS (
-          SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS rank
-          FROM per_area)
-        SELECT area, product_name, click_count, remark, rank
-        FROM ranked JOIN product_info USING (product_id) WHERE rank <= 3
+        leading AS (
+          SELECT c.*, click_count, rank, row_number() OVER (
+                   PARTITION BY area, product_id ORDER BY n DESC, city_name) AS place
+          FROM per_city c JOIN ranked USING (area, product_id) WHERE rank <= 3)
+        SELECT area, product_name, click_count,
+               city_remark(collect_list(struct(city_name, n)), click_count) AS remark, rank
+        FROM leading JOIN product_info USING (product_id) WHERE place <= 2
+        GROUP BY area, product_id, product_name, click_count, rank
     """)
 
 

@@ -47,29 +47,33 @@ def remark_text(name: Column, part: Column, whole: Column) -> Column:
 def register_sql_functions(spark: SparkSession) -> None:
     """Make ``city_remark`` callable from SQL.
 
-    It takes the clicks per city as a map, so that counting stays an ordinary
-    aggregate with partial sums:
+    It takes the clicks of a group's cities, of which it names the first two, and the
+    group's total. Counting and choosing these cities stay ordinary aggregates and ranks,
+    so no more than two rows of a group are ever collected:
 
-        SELECT area, click_product_id, sum(n) AS click_count,
-               city_remark(map_from_entries(collect_list(struct(city_name, n))))
-        FROM (SELECT area, click_product_id, city_name, count(*) AS n ... GROUP BY ALL)
-        GROUP BY area, click_product_id
+        SELECT area, product, city_remark(collect_list(struct(city_name, n)), total)
+        FROM (SELECT *, row_number() OVER (
+                PARTITION BY area, product ORDER BY n DESC, city_name) AS place ...)
+        WHERE place <= 2 GROUP BY area, product, total
+
+    A null city counts as one more city and prints as ``null``.
     """
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION city_remark(clicks MAP<STRING, BIGINT>)
+        CREATE OR REPLACE TEMPORARY FUNCTION city_remark(
+          clicks ARRAY<STRUCT<city: STRING, n: BIGINT>>, total BIGINT)
         RETURNS STRING
         RETURN (
           WITH counted AS (
-            SELECT aggregate(map_values(clicks), 0L, (total, n) -> total + n) AS total,
-                   slice(array_sort(map_entries(clicks), (a, b) -> CASE
-                     WHEN a.value > b.value THEN -1 WHEN a.value < b.value THEN 1
-                     WHEN a.key < b.key THEN -1 WHEN a.key > b.key THEN 1 ELSE 0 END),
-                     1, 2) AS leading)
+            SELECT slice(array_sort(clicks, (a, b) -> CASE
+                     WHEN a.n > b.n THEN -1 WHEN a.n < b.n THEN 1
+                     WHEN a.city IS NULL AND b.city IS NULL THEN 0
+                     WHEN a.city IS NULL OR a.city < b.city THEN -1
+                     WHEN b.city IS NULL OR a.city > b.city THEN 1 ELSE 0 END), 1, 2) AS leading)
           SELECT concat_ws(', ',
-                   transform(leading, c ->
-                     concat(c.key, ':', format_number(c.value / total, '{SHARE_PATTERN}'))),
+                   transform(leading, c -> concat(
+                     coalesce(c.city, 'null'), ':', format_number(c.n / total, '{SHARE_PATTERN}'))),
                    concat('{OTHER_LABEL}:', format_number(
-                     aggregate(leading, total, (rest, c) -> rest - c.value) / total,
+                     aggregate(leading, total, (rest, c) -> rest - c.n) / total,
                      '{SHARE_PATTERN}')))
           FROM counted)
     """)

@@ -54,9 +54,14 @@ def test_pairs_json(spark):
 def test_city_remark_in_sql(spark):
     register_sql_functions(spark)
     row = spark.sql("""
-        SELECT city_remark(map('A', 1L)) AS one, city_remark(map('B', 1L, 'A', 4L)) AS two,
-               city_remark(map('C', 1L, 'B', 1L, 'A', 2L)) AS three
+        SELECT city_remark(array(struct('A', 1L)), 1L) AS one,
+               city_remark(array(struct('B', 1L), struct('A', 4L)), 5L) AS two,
+               city_remark(array(struct('C', 1L), struct('B', 1L), struct('A', 2L)), 4L) AS three,
+               city_remark(array(struct('B', 1L), struct(CAST(NULL AS STRING), 1L)), 4L) AS missing,
+               city_remark(array(struct('A', 2L), struct('A', 1L)), 4L) AS twice
     """).first()
     assert row.one == "A:100.00%, 其他:0.00%"
     assert row.two == "A:80.00%, B:20.00%, 其他:0.00%"
     assert row.three == "A:50.00%, B:25.00%, 其他:25.00%"
+    assert row.missing == "null:25.00%, B:25.00%, 其他:50.00%"
+    assert row.twice == "A:50.00%, A:25.00%, 其他:25.00%"
