@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -31,7 +30,10 @@ class Condition:
 
     @classmethod
     def from_dict(cls, values: Mapping[str, object]) -> Condition:
-        """Ages may be text ("20"); unknown names are ignored."""
+        """Ages may be text ("20"); ``cities`` is another name of ``city``."""
+        values = {("city" if name == "cities" else name): value for name, value in values.items()}
+        if unknown := values.keys() - {field.name for field in fields(cls)}:
+            raise ValueError(f"a condition has no {', '.join(sorted(unknown))}")
         known = {}
         for field in fields(cls):
             value = values.get(field.name)
@@ -48,10 +50,10 @@ class Condition:
     @classmethod
     def from_file(cls, spark: SparkSession, path: str) -> Condition:
         """Read one JSON object, whose names need not be quoted, from any file system."""
-        schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields(cls)])
         row = (
-            spark.read.schema(schema)
-            .options(multiLine=True, allowUnquotedFieldNames=True, mode="FAILFAST")
+            spark.read
+            .options(multiLine=True, allowUnquotedFieldNames=True, primitivesAsString=True,
+                     mode="FAILFAST")
             .json(path)
             .first()
         )

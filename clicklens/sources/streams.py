@@ -22,14 +22,15 @@ def read_kafka_lines(
     spark: SparkSession,
     servers: str,
     topic: str = CLICK_TOPIC,
-    group: str = CLICK_GROUP,
+    group_prefix: str = CLICK_GROUP,
     starting_offsets: str = "latest",
     **options: str,
 ) -> DataFrame:
     """Click lines of a Kafka topic (needs the Kafka connector on the class path).
 
     Offsets live in each query's checkpoint, not with the broker, so a restart
-    continues where the last committed batch ended.
+    continues where the last committed batch ended. Every query gets a group
+    of its own: queries that share one may each read only a part of the topic.
     """
     return read_lines(
         spark,
@@ -37,7 +38,7 @@ def read_kafka_lines(
         **{
             "kafka.bootstrap.servers": servers,
             "subscribe": topic,
-            "kafka.group.id": group,
+            "groupIdPrefix": group_prefix,
             "startingOffsets": starting_offsets,
             **options,
         },

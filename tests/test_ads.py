@@ -87,5 +87,5 @@ def test_kafka_source_asks_for_the_topic(spark):
     session.readStream.format.assert_called_once_with("kafka")
     session.readStream.format.return_value.options.assert_called_once_with(**{
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "ads_log",
-        "kafka.group.id": "commerce-consumer-group", "startingOffsets": "latest",
+        "groupIdPrefix": "commerce-consumer-group", "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "10"})

@@ -62,9 +62,12 @@ def test_without_listed(spark, rows):
 
 
 def test_condition_from_values(spark, tmp_path):
-    condition = Condition.from_dict({"startAge": "20", "endAge": 50, "gender": None, "new": 1})
+    condition = Condition.from_dict({"startAge": "20", "endAge": 50, "gender": None, "cities": 3})
     assert (condition.startAge, condition.endAge, condition.gender) == (20, 50, "")
     assert Condition.from_dict({"startAge": ""}).startAge == 0
+    assert condition.city == "3"
+    with pytest.raises(ValueError, match="town"):
+        Condition.from_dict({"town": "3"})
     assert Condition.from_json('{"startDate": "2019-03-20"}').startDate == "2019-03-20"
 
     path = tmp_path / "condition.json"
