@@ -29,7 +29,11 @@ def top_shares(
     total row is placed ahead of its items, and only ``k + 1`` rows of a group
     are kept before the group meets in one task, however many items it has.
     """
-    amount = F.count("*") if weight is None else F.sum(weight)
+    if weight is None:
+        # Counted before rows are doubled for the totals.
+        weight = "_n"
+        rows = rows.groupBy(*groups, item).agg(F.count("*").alias(weight))
+    amount = F.sum(weight)
     sums = rows.groupingSets([[*groups, item], [*groups]], *groups, item).agg(
         amount.alias("_n"), F.grouping(item).alias("_is_total")
     )

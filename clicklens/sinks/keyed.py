@@ -56,10 +56,8 @@ class KeyedTable:
             rows = rows.unionByName(self._read(self._folded, folded))
         if not self._values:
             return rows.select(*self._keys).distinct()
-        newest = F.max_by(F.struct(*self._values), "_number").alias("_newest")
-        return rows.groupBy(*self._keys).agg(newest).select(
-            *[f"_newest.{name}" if name in self._values else name for name in self._schema.names]
-        )
+        newest = [F.max_by(name, "_number").alias(name) for name in self._values]
+        return rows.groupBy(*self._keys).agg(*newest).select(*self._schema.names)
 
     def compact(self) -> None:
         """Fold all changes into one folder and drop those an older fold has already."""

@@ -19,8 +19,10 @@ def save_table(
 ) -> None:
     """Replace a catalog table, definition included.
 
-    Partition the action log by ``date`` so that date bounds prune it; bucket
-    it and the users alike by ``user_id`` so that their join needs no shuffle.
+    Partition the action log by ``date`` so that date bounds prune it. Bucket
+    only by a key of which no value has much more than its share of the rows:
+    one task reads a whole bucket, which Spark cannot split, so not the log by
+    user where some users are hot.
     With a ``path`` the files lie there instead of in the warehouse.
 
     Rows of a partition or bucket are brought together first, so that there are
