@@ -65,7 +65,8 @@ class AreaTopAds:
     def _merge(self, changed: DataFrame, batch_id: int) -> None:
         if self._table.has(batch_id):
             return
-        former = self._table.read().select(
+        touched = changed.select("day", "area").distinct()
+        former = self._table.read().join(touched, ["day", "area"], "left_semi").select(
             "day", "area", F.inline("top"), F.lit(False).alias("is_new")
         )
         candidates = (

@@ -68,11 +68,11 @@ class ClickGuard:
             .parquet(self._rejected.path)
         )
 
-    def start_growth(self) -> StreamingQuery:
-        """Count the clicks that passed and list users; runs as soon as there are any."""
+    def start_growth(self, **trigger) -> StreamingQuery:
+        """Count the clicks that passed and list users; by default as soon as there are any."""
         return start_counting(
             self.clean_stream(), USER_KEYS, self._grow, f"{self._folder}/checkpoints/growth",
-            self._state,
+            self._state, trigger=trigger,
         )
 
     def start_filter(self, lines: DataFrame, growth: StreamingQuery, **trigger) -> StreamingQuery:

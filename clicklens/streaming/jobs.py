@@ -31,7 +31,7 @@ class AdJobs:
 
     def start(self, lines: DataFrame, interval: str = BATCH_INTERVAL) -> list[StreamingQuery]:
         """Run for good, with a micro-batch per interval."""
-        growth = self.guard.start_growth()
+        growth = self.guard.start_growth(processingTime=interval)
         return [
             growth,
             self.guard.start_filter(lines, growth, processingTime=interval),

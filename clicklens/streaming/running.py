@@ -17,32 +17,19 @@ from clicklens.session import STATE_SETTINGS, changed_settings
 class StateOptions:
     """How running counts are kept.
 
-    By default they are kept for ever, and a late click still adds to its own
-    day. With ``keep_days``, days that far behind the newest click leave the
-    state, and clicks on them are no longer counted.
+    They are kept for ever, and a late click still adds to its own day.
 
     ``partitions`` is the number of state partitions, else the session's number
     of shuffle partitions. It is fixed by a query's first batch for good, so
     choose it for the keys to come: a few per core of the cluster.
     """
 
-    keep_days: int | None = None
     partitions: int | None = None
 
 
-def running_counts(
-    clicks: DataFrame, keys: Sequence[str], keep_days: int | None = None
-) -> DataFrame:
-    """Clicks per key (``day`` among them) over all batches so far."""
-    if keep_days is None:
-        return clicks.groupBy(*keys).agg(F.count("*").alias("clicks"))
-    return (
-        clicks.withColumn("day_start", F.to_timestamp("day", "yyyy-MM-dd"))
-        .withWatermark("day_start", f"{keep_days} days")
-        .groupBy("day_start", *keys)
-        .agg(F.count("*").alias("clicks"))
-        .drop("day_start")
-    )
+def running_counts(clicks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Clicks per key over all batches so far."""
+    return clicks.groupBy(*keys).agg(F.count("*").alias("clicks"))
 
 
 def start_counting(
@@ -61,7 +48,7 @@ def start_counting(
             store(counts, batch_id)
 
     writer = (
-        running_counts(clicks, keys, state.keep_days)
+        running_counts(clicks, keys)
         .writeStream.outputMode(output_mode)
         .foreachBatch(store_whole)
         .option("checkpointLocation", checkpoint)

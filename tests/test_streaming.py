@@ -166,15 +166,17 @@ def test_jobs_run_side_by_side(stream, rows):
     assert rows(s.jobs.area_top.read()) == [("2019-03-20", "n", '[{"1":5}]')]
 
 
-def test_days_can_leave_the_state(spark, stream):
+def test_late_clicks_add_to_their_day(spark, stream):
     s = stream()
-    counts = CityCounts(spark, f"{s.place}/short", StateOptions(keep_days=1, partitions=2))
-    for ts in (DAY, DAY + 5 * 86400000, DAY + 6 * 86400000, DAY):
+    counts = CityCounts(spark, f"{s.place}/late", StateOptions(partitions=2))
+    for ts in (DAY, DAY + 5 * 86400000, DAY):
         s.run(line("u", ts=ts), counters=False)
         counts.start(s.jobs.guard.clean_stream(), availableNow=True).awaitTermination()
     by_day = {row.day: row.clicks for row in counts.read().collect()}
-    assert by_day == {"2019-03-20": 1, "2019-03-25": 1, "2019-03-26": 1}
+    assert by_day == {"2019-03-20": 2, "2019-03-25": 1}
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    plan = counts.read()._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_old_clean_clicks_can_be_dropped(stream):
