@@ -96,4 +96,6 @@ def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], object]) -> object:
 
     ship_package(sample.sparkSession)
     columns = sample.columns
-    return pickle.loads(sample.coalesce(1).mapInPandas(work, "model binary").first()["model"])
+    found = sample.coalesce(1).mapInPandas(work, "model binary").first()
+    # Spark may find out that there are no rows, and start no task.
+    return pickle.loads(found["model"]) if found else fit(pd.DataFrame(columns=columns))
