@@ -259,21 +259,22 @@ def encoded(
         encoder = Encoder(shared.value, n_best)
         as_bytes = piece_bytes(shared.value)
         for batch in texts:
-            out = []
+            # Handed on block by block, so that no more than a block's ids are held.
             for block in blocks_of(batch):
+                out = []
                 encoder.learn(set(chain.from_iterable([segments for _, segments in block])))
                 for text, segments in block:
                     packed, best = encoder.encode(segments)
-                    ids = np.frombuffer(packed, dtype="<i4").tolist()
+                    ids = np.frombuffer(packed, dtype="<i4")
                     out.append((
                         ids if with_ids else None, len(ids), hashlib.sha256(packed).hexdigest(),
-                        joined(ids, as_bytes) == text,
+                        joined(ids.tolist(), as_bytes) == text,
                         [{"score": score, "changes": [
                             {"segment": i, "ids": way} for i, way in changes]}
                          for score, changes in best],
                     ))
-            yield pd.DataFrame(
-                out, columns=["ids", "n_pieces", "ids_sha256", "round_trip", "best"])
+                yield pd.DataFrame(
+                    out, columns=["ids", "n_pieces", "ids_sha256", "round_trip", "best"])
 
     return docs.select(F.struct("*").alias("row"), encode(text_of(text_col)).alias("e")).select(
         "row", "e.*")
