@@ -59,6 +59,25 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(place)
 
 
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str, content_hash: Column) -> DataFrame:
+    """The documents that ``found`` (id, hash, kept) keeps, with all their columns.
+
+    ``content_hash`` is a document's hash in ``found``. One stays of the rows that repeat id
+    and hash. Only what goes and what repeats is looked up, and is stored first, so that
+    Spark knows its size and moves no documents where it is small.
+    """
+    marks = found.groupBy("id", "hash").agg(
+        F.max("kept").alias("repeats"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1 OR NOT repeats").select("id", "hash", "repeats")
+    marks = written(marks, "marks")
+    rows = docs.select(
+        F.struct("*").alias("row"), named(id_col).alias("id"), content_hash.alias("hash"))
+    same = rows["id"].eqNullSafe(marks["id"]) & (rows["hash"] == marks["hash"])
+    single = rows.join(marks, same, "left_anti")
+    several = rows.join(marks.where("repeats"), same, "left_semi").dropDuplicates(["id", "hash"])
+    return single.unionByName(several).select("row.*")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, wherever the session's driver was started."""
     context = spark.sparkContext

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import ascii_lower, named, text_of, written
+from clicklens.llm.common import ascii_lower, named, one_of_each, text_of, written
 
 
 def exact_groups(
@@ -34,11 +34,16 @@ def exact_groups(
     choose = {"smallest": F.min, "largest": F.max}[keep]
     rows = docs.select(named(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("norm"))
     rows = rows.withColumn("h", content_hash(F.col("norm")))
-    groups = rows.groupBy("h").agg(choose("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    joined = rows.join(groups, "h").select(
-        "id", "h", "keep_id", "n",
+    # Stored, so that Spark knows the size of this side and moves no texts where it is small.
+    groups = written(
+        rows.groupBy("h").agg(choose("id").alias("group_keep"), F.count(F.lit(1)).alias("group_n"))
+        .where("group_n > 1"), "exact-groups")
+    joined = rows.join(groups, "h", "left").select(
+        "id", "h",
+        F.when(F.col("group_n").isNull(), F.col("id")).otherwise(F.col("group_keep")).alias("keep_id"),
+        F.coalesce("group_n", F.lit(1).cast("long")).alias("n"),
         F.sha2("norm", 256).alias("sha"),
-        F.when(F.col("n") > 1, F.col("norm")).alias("norm"),
+        F.when(F.col("group_n").isNotNull(), F.col("norm")).alias("norm"),
     )
     # Joined by a second column too, so that this join deals its rows anew and a large
     # group can be split here as well.
@@ -75,13 +80,6 @@ def drop_copies(
 ) -> DataFrame:
     """The documents that stay, with all their columns."""
     # By the sha256, which also tells texts apart that only share the 128-bit hash.
-    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(
-        F.col(id_col).alias("id"), F.col("text_sha256").alias("sha")
-    ).distinct()
-    rows = docs.select(
-        F.struct("*").alias("row"),
-        named(id_col).alias("id"),
-        F.sha2(ascii_lower(text_of(text_col)), 256).alias("sha"),
-    )
-    same = rows["id"].eqNullSafe(kept["id"]) & (rows["sha"] == kept["sha"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "sha"]).select("row.*")
+    found = exact_groups(docs, id_col, text_col, keep).select(
+        F.col(id_col).alias("id"), F.col("text_sha256").alias("hash"), "kept")
+    return one_of_each(docs, found, id_col, F.sha2(ascii_lower(text_of(text_col)), 256))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import named, ship_package, text_of, written
+from clicklens.llm.common import named, one_of_each, ship_package, text_of, written
 
 SHINGLE = 5  # words of a k-mer
 SKETCHES = 40
@@ -237,6 +237,13 @@ def near_groups(
     other; a class of null ids only has a null class_id. Rows that repeat id and text share
     all results. An empty table gives no rows.
     """
+    return near_classes(docs, id_col, text_col, similarity).select(
+        F.col("id").alias(id_col), "class_id", F.lower(F.hex("h")).alias("text_md5"),
+        F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    """id, h, label (smallest h of the class) and class_id of every document."""
     ids = written(sketched(docs, id_col, text_col), "near-sketches")
     sketches = ids.select("h", "sketch").dropDuplicates(["h"])
     nodes = sketches.select("h", F.posexplode("sketch").alias("last", "key")).withColumn(
@@ -271,9 +278,7 @@ def near_groups(
     rows = ids.select("id", "h").join(labels, "h", "left").select(
         "id", "h", F.coalesce("label", "h").alias("label"))
     smallest = rows.groupBy("label").agg(F.min("id").alias("class_id"))
-    return rows.join(smallest, "label").select(
-        F.col("id").alias(id_col), "class_id", F.lower(F.hex("h")).alias("text_md5"),
-        F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return rows.join(smallest, "label")
 
 
 def allowed(similarity: float) -> Column:
@@ -349,11 +354,10 @@ def drop_near(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
     """One document of each class, with all its columns: the one with the smallest id."""
-    kept = near_groups(docs, id_col, text_col, similarity).where("kept").select(
-        F.col(id_col).alias("id"), F.unhex("text_md5").alias("h"))
-    kept = kept.groupBy("id").agg(F.min("h").alias("h"))
-    rows = docs.select(
-        F.struct("*").alias("row"), named(id_col).alias("id"),
-        F.unhex(F.md5(text_of(text_col))).alias("h"))
-    same = rows["id"].eqNullSafe(kept["id"]) & (rows["h"] == kept["h"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "h"]).select("row.*")
+    found = near_classes(docs, id_col, text_col, similarity)
+    # Of a class's texts with the smallest id, where ids repeat, one stays.
+    stays = found.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(
+        F.min("h").alias("stay"))
+    found = found.join(stays, "label").select("id", F.col("h").alias("hash"), (
+        F.col("id").eqNullSafe(F.col("class_id")) & (F.col("h") == F.col("stay"))).alias("kept"))
+    return one_of_each(docs, found, id_col, F.unhex(F.md5(text_of(text_col))))
