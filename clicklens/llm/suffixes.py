@@ -88,13 +88,15 @@ class Anchors:
     def parts(self, strings: list[bytes]) -> tuple[np.ndarray, ...]:
         """(string, anchors, content, start, windows): runs of windows that share two more anchors.
 
+        Equal windows also have all bytes from the first to the last of their three anchors
+        in common, so ``anchors`` is a hash of these bytes and of the anchors' places there.
         The strings, ``CHUNK`` bytes in all at most, are worked on as one text.
         """
         lengths = np.array([len(x) for x in strings])
         firsts = np.cumsum(lengths) - lengths
         part = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
         h = self.grams(part)
-        one, two = self.places(h, SECOND), self.places(h, THIRD)
+        zero, one, two = (self.places(h, by) for by in (ODD, SECOND, THIRD))
         of = np.repeat(np.arange(len(strings)), lengths)[:len(one)]
         inside = np.arange(len(one)) + LENGTH <= (firsts + lengths)[of]
         fresh = (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (of[1:] != of[:-1]) | (
@@ -104,7 +106,10 @@ class Anchors:
         use = inside[starts]
         starts, windows = starts[use], windows[use]
         a, b = one[starts], two[starts]
-        anchors = (h[a] * ODD + h[b]) * MIX + (a - b).astype(np.uint64)
+        low = np.minimum(np.minimum(a, b), zero[starts])
+        high = np.maximum(np.maximum(a, b), zero[starts]) + GRAM
+        between = self.contents(part, low, high - low - LENGTH + 1).view(np.uint64)
+        anchors = (between + ((a - low) * LENGTH + b - low).astype(np.uint64) * ODD) * MIX
         return (of[starts], anchors.view(np.int64), self.contents(part, starts, windows),
                 starts - firsts[of[starts]], windows)
 
