@@ -306,14 +306,13 @@ def repeated_spans(
     often = runs.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("content").alias("a"), F.max("content").alias("b")
     ).where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("differ"))
+    # Counts are stored before they are joined: only then can Spark split a hot anchor's rows.
+    often = written(often, "suffix-often")
     shared = written(runs.join(often, "anchor"), "suffix-shared")
-    pool = written(
-        rows.join(shared.select("key").distinct(), "key", "left_semi").select("key", "text"),
-        "suffix-pool")
     distinct = shared.where("differ").groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "start", "windows")).alias("at"))
     distinct = written(distinct, "suffix-distinct")
-    strings = written(_bytes_of(distinct, pool), "suffix-strings")
+    strings = written(_bytes_of(distinct, rows), "suffix-strings")
     found = _shared_windows(strings, shards, bucket_bytes, most_strings)
     runs_of = shared.join(
         distinct.select("anchor", "content", "times"), ["anchor", "content"], "left"
@@ -328,7 +327,7 @@ def repeated_spans(
     covered = covered.groupBy("key").agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("lengths"))
     cut_out = F.pandas_udf(_cut_out, "n_removed long, n_spans long, kept_sha256 string")
-    left = pool.join(covered, "key").select("key", cut_out("text", "starts", "lengths").alias("k"))
+    left = rows.join(covered, "key").select("key", cut_out("text", "starts", "lengths").alias("k"))
     left = written(left, "suffix-kept")
     slim = rows.select("key", "id", F.octet_length("text").cast("long").alias("n_bytes"),
                        F.sha2("text", 256).alias("whole"))
@@ -340,12 +339,12 @@ def repeated_spans(
         F.coalesce("k.kept_sha256", "whole").alias("kept_sha256"))
 
 
-def _bytes_of(distinct: DataFrame, pool: DataFrame) -> DataFrame:
+def _bytes_of(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     """anchor, content, bytes of each distinct run."""
     wanted = distinct.select("at.key", F.struct("anchor", "content", "at.start", "at.windows").alias("w"))
     wanted = wanted.groupBy("key").agg(F.collect_list("w").alias("w"))
     data = F.encode("text", "UTF-8")
-    each = pool.join(wanted, "key").select(data.alias("data"), F.explode("w").alias("w"))
+    each = rows.join(wanted, "key").select(data.alias("data"), F.explode("w").alias("w"))
     return each.select(
         "w.anchor", "w.content",
         F.expr(f"substring(data, int(w.start + 1), int(w.windows + {LENGTH - 1}))").alias("bytes"))
@@ -383,6 +382,7 @@ def _shared_windows(
     often = parts.groupBy(*ids).agg(
         F.count(F.lit(1)).alias("n"), F.min("inner").alias("a"), F.max("inner").alias("b")
     ).where("n > 1").select(*ids, (F.col("a") != F.col("b")).alias("differ"))
+    often = written(often, "suffix-parts-often")
     shared = written(parts.join(often, ids), "suffix-parts-shared")
     distinct = written(
         shared.where("differ").groupBy(*ids, "inner").agg(
