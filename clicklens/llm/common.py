@@ -63,13 +63,13 @@ def one_of_each(docs: DataFrame, found: DataFrame, id_col: str, content_hash: Co
     """The documents that ``found`` (id, hash, kept) keeps, with all their columns.
 
     ``content_hash`` is a document's hash in ``found``. One stays of the rows that repeat id
-    and hash. Only what goes and what repeats is looked up, and is stored first, so that
-    Spark knows its size and moves no documents where it is small.
+    and hash. Only what goes and what repeats is looked up; it is stored first, and merged
+    at every size.
     """
     marks = found.groupBy("id", "hash").agg(
         F.max("kept").alias("repeats"), F.count(F.lit(1)).alias("n")
     ).where("n > 1 OR NOT repeats").select("id", "hash", "repeats")
-    marks = written(marks, "marks")
+    marks = written(marks, "marks").hint("merge")
     rows = docs.select(
         F.struct("*").alias("row"), named(id_col).alias("id"), content_hash.alias("hash"))
     same = rows["id"].eqNullSafe(marks["id"]) & (rows["hash"] == marks["hash"])

@@ -34,11 +34,11 @@ def exact_groups(
     choose = {"smallest": F.min, "largest": F.max}[keep]
     rows = docs.select(named(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("norm"))
     rows = rows.withColumn("h", content_hash(F.col("norm")))
-    # Stored, so that Spark knows the size of this side and moves no texts where it is small.
+    # Stored, and merged at every size, so that Spark can split a hot group's rows.
     groups = written(
         rows.groupBy("h").agg(choose("id").alias("group_keep"), F.count(F.lit(1)).alias("group_n"))
         .where("group_n > 1"), "exact-groups")
-    joined = rows.join(groups, "h", "left").select(
+    joined = rows.join(groups.hint("merge"), "h", "left").select(
         "id", "h",
         F.when(F.col("group_n").isNull(), F.col("id")).otherwise(F.col("group_keep")).alias("keep_id"),
         F.coalesce("group_n", F.lit(1).cast("long")).alias("n"),
@@ -52,7 +52,7 @@ def exact_groups(
         .groupBy("h", "n").agg(F.max("norm").alias("head"))
     )
     other = F.col("norm") != F.col("head")
-    checked = joined.join(heads, ["h", "n"], "left").select(
+    checked = joined.join(heads.hint("merge"), ["h", "n"], "left").select(
         "id", "h", "keep_id", "n", "sha", F.when(other, F.col("norm")).alias("norm")
     )
     checked = written(checked, "exact")
