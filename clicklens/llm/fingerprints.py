@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import GAP, named, text_of
+from clicklens.llm.common import GAP, named, text_of, written
 
 BITS = 64
 HALF = BITS // 2
@@ -183,3 +183,41 @@ def within_radius(
     same = (one["table"] == two["table"]) & (one["key"] == two["key"])
     found = one.join(two, same & (a != b) & (distance <= radius) & (first == one["table"]))
     return found.select("a", "b", distance.alias("distance"))
+
+
+def with_links(
+    rows: DataFrame, searched: Column, id_col: str = "doc_id", radius: int = 3, blocks: int = 6,
+) -> DataFrame:
+    """The rows (id and ``fingerprint``), and what lies within the radius of the searched ones.
+
+    ``searched`` is a condition on the rows; all rows are stored. same_documents counts the
+    other rows of the same fingerprint, same_id is the smallest id of all of these, its own
+    among them. near_fingerprints counts the other fingerprints within the radius,
+    near_documents the rows that have them, near_id is the smallest id of those. Rows that
+    are not searched have nulls, searched ones without a link counts of 0.
+
+    Pairs are of distinct fingerprints; rows that share one are counted, never paired.
+    """
+    rows = written(rows, "fingerprints")
+    # Sums are stored before they are joined: only then can Spark split a hot fingerprint's rows.
+    groups = written(rows.groupBy("fingerprint").agg(
+        F.min(named(id_col)).alias("same_id"), F.count(F.lit(1)).alias("n")), "fingerprint-groups")
+    searched = F.coalesce(searched, F.lit(False))
+    wanted = rows.where(searched)
+    pairs = within_radius(wanted, groups, radius, blocks)
+    partners = groups.select(F.col("fingerprint").alias("b"), F.col("same_id").alias("id"), "n")
+    near = pairs.join(partners, "b").groupBy("a").agg(
+        F.count(F.lit(1)).alias("near_fingerprints"), F.sum("n").alias("near_documents"),
+        F.min("id").alias("near_id"))
+    near = near.withColumnRenamed("a", "fingerprint")
+    zero = F.lit(0).cast("long")
+    columns = ["same_documents", "same_id", "near_fingerprints", "near_documents", "near_id"]
+    found = groups.join(near, "fingerprint", "left").select(
+        "fingerprint", (F.col("n") - 1).alias("same_documents"), "same_id",
+        F.coalesce("near_fingerprints", zero).alias("near_fingerprints"),
+        F.coalesce("near_documents", zero).alias("near_documents"), "near_id")
+    found = written(found.join(wanted.select("fingerprint").distinct(), "fingerprint", "left_semi"),
+                    "fingerprint-links")
+    others = rows.where(~searched).select(
+        "*", *(F.lit(None).cast(found.schema[c].dataType).alias(c) for c in columns))
+    return wanted.join(found, "fingerprint").select(*rows.columns, *columns).unionByName(others)

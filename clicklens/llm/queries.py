@@ -64,8 +64,12 @@ def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's fingerprint and its edited text's, and how alike they are."""
+    """Every document's fingerprint and its edited text's, how alike they are, and the links.
+
+    Documents whose id ``SEARCHED`` divides are searched among all; the others have null links.
+    """
     rows = fingerprints.with_edited(table(spark, folder, "documents"))
+    rows = fingerprints.with_links(rows, F.col("doc_id") % SEARCHED == 0)
     mine = F.col("fingerprint")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256",
@@ -73,6 +77,7 @@ def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         fingerprints.shown(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         fingerprints.likeness(mine, F.col("edited_fingerprint")).alias("near_edited"),
         fingerprints.likeness(mine, F.col("next_fingerprint")).alias("near_next"),
+        "same_documents", "same_id", "near_fingerprints", "near_documents", "near_id",
     )
 
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from clicklens.llm import exact, fingerprints, langid, lm, near, pieces, quality, secrets, suffixes
+from clicklens.llm import exact, fingerprints, langid, lm, near, pieces, quality, queries, secrets, suffixes
 from clicklens.llm.lattice import load_pieces, log_likelihoods, marked
 
 VOCABULARY = pieces.VOCABULARY
@@ -72,6 +72,36 @@ def test_all_fingerprints_within_the_radius(spark):
     assert fingerprints.within_radius(rows, rows).count() == len(expected)
 
 
+def test_links_of_searched_documents(spark):
+    draw = random.Random(8)
+    # Half of the fingerprints share 44 bits, so that most tables have one hot key.
+    base, hot = [draw.getrandbits(64) for _ in range(20)], draw.getrandbits(44) << 20
+    prints = [b ^ sum(1 << i for i in draw.sample(range(64), k)) for b in base for k in range(5) for _ in range(5)]
+    prints += [hot | draw.getrandbits(20) for _ in range(500)]
+    prints += [prints[0]] * 40 + [prints[-1]] * 40
+    rows = [(i or None, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
+    frame = spark.createDataFrame(rows, "doc_id long, fingerprint long").repartition(5)
+    found = fingerprints.with_links(frame, F.col("doc_id") % 7 == 0).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r.doc_id is None or r.doc_id % 7:
+            assert (r.same_documents, r.same_id, r.near_fingerprints, r.near_documents) == (None,) * 4
+            continue
+        same = [i for i, p in rows if p == r.fingerprint]
+        near = [(i, p) for i, p in rows if p != r.fingerprint and ((p ^ r.fingerprint) % 2**64).bit_count() <= 3]
+        assert (r.same_documents, r.same_id) == (len(same) - 1, min(i for i in same if i))
+        assert (r.near_fingerprints, r.near_documents) == (len({p for _, p in near}), len(near))
+        assert r.near_id == min((i for i, _ in near if i), default=None)
+
+
+def test_the_query_links_fingerprints(spark):
+    rows = queries.op7_fingerprints(spark, "/root/testdata/sf0.001").collect()
+    prints = {r.fingerprint: int(r.fingerprint, 16) for r in rows}
+    for r in rows:
+        near = sum(0 < (p ^ prints[r.fingerprint]).bit_count() <= 3 for p in prints.values())
+        assert r.near_fingerprints == (None if r.doc_id % queries.SEARCHED else near)
+
+
 def all_ways(text, known):
     if not text:
         yield ()
