@@ -10,14 +10,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import named, one_of_each, ship_package, text_of, written
+from clicklens.llm.common import named, one_of_each, share, ship_package, text_of, written
 
 SHINGLE = 5  # words of a k-mer
 SKETCHES = 40
 ORDERED = 5  # k-mers of a sketch, kept in the order of the text
 SIMILARITY = 0.8
-HUBS = 8  # of a bucket at a time, after the first
-AGREED = 3  # sketches in which two texts agree that meet in one bucket, from the third round on
+HUBS = 8  # of a bucket in the second round; twice as many in each one after
+COUNTERS = 1 << 16  # of word hashes, which tell rare words from common ones
 BLOCK_WORDS = 200_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -230,8 +230,11 @@ def near_groups(
     rest get other hubs, until all that are left in a bucket are of one class. So a group
     of thousands costs an alignment or a few each, and a large bucket is a join that Spark
     can split, never one task's list. What the first hub does not settle is mostly texts
-    that share a common passage only; from there on texts must agree in a second, and then
-    a third sketch to be aligned, which texts of similarity 0.8 do but for 3 in 100,000.
+    that share a common passage only; their bucket is split by rare words (``refined``),
+    which parts no pair within the similarity. So of the texts that agree in one sketch
+    all links count. Texts of scattered edits may agree in none: an edit changes five
+    k-mers, and a sketch agrees with about the fifth power of the k-mers' Jaccard
+    similarity.
 
     Null texts are empty texts; empty texts are one class. Null ids are members like any
     other; a class of null ids only has a null class_id. Rows that repeat id and text share
@@ -245,9 +248,8 @@ def near_groups(
 def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     """id, h, label (smallest h of the class) and class_id of every document."""
     ids = written(sketched(docs, id_col, text_col), "near-sketches")
-    sketches = ids.select("h", "sketch").dropDuplicates(["h"])
-    nodes = sketches.select("h", F.posexplode("sketch").alias("last", "key")).withColumn(
-        "band", F.col("last").cast("long"))
+    sketches = ids.dropDuplicates(["h"])
+    nodes = sketches.select("h", F.posexplode("sketch").alias("band", "key"))
     hubs = nodes.groupBy("band", "key").agg(
         F.min("h").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     active = written(nodes.join(hubs, ["band", "key"]), "near-buckets")
@@ -261,7 +263,7 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         texts.join(spoken_for, one, "left_semi").select("h", "text").dropDuplicates(["h"]),
         "near-pool")
     # Every text is a class of its own until links join them.
-    labels, agreed = members.select("h", F.col("h").alias("label")), 1
+    labels, most = members.select("h", F.col("h").alias("label")), HUBS
     active = active.withColumn("apart", F.col("h") != F.col("hub"))
     while True:
         pairs = active.where("apart").select("hub", "h").distinct()
@@ -270,11 +272,13 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         if not links.isEmpty():
             labels = joined_classes(labels, links)
         left = unresolved(active, found, similarity)
-        if agreed < AGREED:
-            left, agreed = refined(left, sketches), agreed + 1
-        active = written(with_hubs(left, labels), "near-buckets")
+        left = of_several_classes(left, labels)
+        if most == HUBS:
+            left = of_several_classes(refined(left, pool, similarity), labels)
+        active = written(with_hubs(left, most), "near-buckets")
         if active.isEmpty():
             break
+        most *= 2
     rows = ids.select("id", "h").join(labels, "h", "left").select(
         "id", "h", F.coalesce("label", "h").alias("label"))
     smallest = rows.groupBy("label").agg(F.min("id").alias("class_id"))
@@ -304,7 +308,7 @@ def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def unresolved(active: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """What stays in the buckets (band, key, last, h) after a round.
+    """What stays in the buckets (band, key, h) after a round.
 
     A hub has met all of its bucket that is not of its class, and leaves. A text linked to
     it stays only if its distance to the hub does not show that every unlinked one is too
@@ -324,30 +328,81 @@ def unresolved(active: DataFrame, found: DataFrame, similarity: float) -> DataFr
         met.where("linked").join(between, [*bucket, "hub"]).where(clear).select(*bucket, "h")
         .union(active.select(*bucket, "hub")).distinct()
     )
-    return active.select(*bucket, "last", "h").distinct().join(leave, [*bucket, "h"], "left_anti")
+    return active.select(*bucket, "h").distinct().join(leave, [*bucket, "h"], "left_anti")
 
 
-def refined(left: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The buckets split by one sketch more: texts meet that agree in a later sketch, too."""
-    rows = left.join(sketches, "h").select(
-        "band", "key", "last", "h", F.posexplode("sketch").alias("next", "value"))
-    return rows.where("next > last").select(
-        (F.col("band") * (SKETCHES + 1) + F.col("next") + 1).alias("band"),
-        F.xxhash64("key", "value").alias("key"), F.col("next").alias("last"), "h")
+def of_several_classes(left: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, key, h and label of the buckets of more than one class."""
+    bucket = ["band", "key"]
+    left = written(left.join(labels, "h").select(*bucket, "h", "label"), "near-left")
+    several = left.groupBy(*bucket).agg(
+        F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select(*bucket)
+    return left.join(written(several, "near-several"), bucket)
+
+
+def numbered_words(words: np.ndarray) -> np.ndarray:
+    """Hashes of the words, each with the number of its occurrence in the text."""
+    order = np.argsort(words, kind="stable")
+    ranked = words[order]
+    fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    first = np.maximum.accumulate(np.where(fresh, np.arange(len(words)), 0))
+    return ranked + (np.arange(len(words)) - first).astype(np.uint64) * MIX
+
+
+def refined(left: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
+    """The buckets split by word: texts meet that have one of their rarest words in common.
+
+    Two texts within the similarity have all but ``most_edits`` of the longer one's words in
+    common. So in any order that is the same for all texts, the first word they have in
+    common is among the first ``most_edits`` and one of each; no linked pair is parted.
+    Words are numbered by occurrence, and ordered by how many there are, counted by hash.
+    """
+    texts = written(pool.join(left.select("h").distinct(), "h", "left_semi"), "near-open")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for words in word_hashes(list(batch["text"])):
+                if len(words):
+                    at = numbered_words(words) % np.uint64(COUNTERS)
+                    total += np.bincount(at.astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"at": at, "n": total[at]})
+
+    counts = texts.select("text").mapInPandas(count, "at long, n long").groupBy("at").agg(
+        F.sum("n").alias("n"))
+    times = np.zeros(COUNTERS, dtype=np.int64)
+    for row in counts.collect():
+        times[row["at"]] = row["n"]
+    shared = share(pool, times)
+
+    @F.pandas_udf("array<long>")
+    def rare(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        times = shared.value
+        for batch in batches:
+            out = []
+            for words in word_hashes(list(batch)):
+                if len(words):
+                    words = numbered_words(words)
+                    order = np.lexsort((words, times[(words % np.uint64(COUNTERS)).astype(np.int64)]))
+                    words = words[order[:most_edits(len(words), len(words), similarity) + 1]]
+                out.append(words.view(np.int64))
+            yield pd.Series(out, dtype=object)
+
+    words = texts.select("h", F.explode(rare("text")).alias("word"))
+    return left.join(written(words, "near-words"), "h").select(
+        "band", F.xxhash64("key", "word").alias("key"), "h")
 
 
-def with_hubs(left: DataFrame, labels: DataFrame) -> DataFrame:
-    """The buckets of more than one class, every text with each of its bucket's next hubs."""
+def with_hubs(left: DataFrame, most: int) -> DataFrame:
+    """Every text with each of its bucket's next hubs, ``most`` at most."""
     bucket = ["band", "key"]
-    left = left.join(labels, "h")
     sizes = left.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("hub"))
     small_first = Window.partitionBy(*bucket).orderBy("n", "hub")
-    several = sizes.groupBy(*bucket).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    hubs = sizes.join(several, bucket, "left_semi").withColumn(
-        "rank", F.row_number().over(small_first)).where(F.col("rank") <= HUBS)
+    hubs = sizes.withColumn("rank", F.row_number().over(small_first)).where(F.col("rank") <= most)
     hubs = hubs.select(*bucket, "hub", F.col("label").alias("hub_label"))
     return left.join(hubs, bucket).select(
-        *bucket, "last", "h", "hub", (F.col("label") != F.col("hub_label")).alias("apart"))
+        *bucket, "h", "hub", (F.col("label") != F.col("hub_label")).alias("apart"))
 
 
 def drop_near(

@@ -184,6 +184,32 @@ def test_near_duplicates(spark):
     assert found == {i: i if i < 20 else (i - 20) // 4 for i in range(100)}
 
 
+def linked_classes(texts, meet=lambda i, j: True):
+    """The smallest number of each text's class, by alignment of all pairs that meet."""
+    words, label = [t.lower().split() for t in texts], list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        most = near.most_edits(len(words[i]), len(words[j]), near.SIMILARITY)
+        if label[i] != label[j] and meet(i, j) and near.banded_distance(words[i], words[j], most) is not None:
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+    return dict(enumerate(label))
+
+
+def test_all_links_of_texts_that_share_a_passage(spark):
+    # Pairs of similarity 0.82; all other texts share 76 of 100 words with them.
+    draw = random.Random(9)
+    fresh = lambda n: ["".join(draw.choices("abcdefgh", k=7)) for _ in range(n)]
+    passage, texts = fresh(76), []
+    for _ in range(40):
+        own = fresh(24)
+        other = [w if i % 4 == 0 else x for i, (w, x) in enumerate(zip(own, fresh(24)))]
+        texts += [" ".join(passage + own), " ".join(passage + other)]
+    sketches = [near.order_minhash(near.labelled_kmers(w)) for w in near.word_hashes(texts)]
+    expected = linked_classes(texts, lambda i, j: (sketches[i] == sketches[j]).any())
+    assert sum(i != c for i, c in expected.items()) > 30
+    assert {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()} == expected
+
+
 def test_repeated_windows():
     draw = random.Random(3)
     for _ in range(150):
