@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,8 @@ SKETCHES = 40
 ORDERED = 5  # k-mers of a sketch, kept in the order of the text
 SIMILARITY = 0.8
 HUBS = 8  # of a bucket in the second round; twice as many in each one after
+SHORT = 24  # words of a text that meets others by its words, too
+TOGETHER = 3  # words that short texts meet by
 COUNTERS = 1 << 16  # of word hashes, which tell rare words from common ones
 BLOCK_WORDS = 200_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -92,6 +95,27 @@ def word_hashes(texts: list[str]) -> Iterator[np.ndarray]:
         yield from hashed(block)
 
 
+def short_keys(words: list[str], similarity: float = SIMILARITY) -> list[int]:
+    """What a short text meets others by: some of its words, three at a time.
+
+    Words are numbered by occurrence and put in one order for all texts, long ones first. Two
+    texts within the similarity have all but ``most_edits`` of the longer one's words in
+    common, so the three first common ones are, in both, among the first ``most_edits`` of
+    its own words and three. Below a similarity of 0.75, texts may have one in common only.
+    """
+    together = TOGETHER if similarity >= 0.75 else 1
+    if not together <= len(words) <= SHORT:
+        return []
+    seen: Counter[str] = Counter()
+    numbered = []
+    for word in words:
+        seen[word] += 1
+        numbered.append((-len(word), word, seen[word]))
+    first = sorted(numbered)[:most_edits(len(words), len(words), similarity) + together]
+    keys = ["\0".join(f"{word} {n}" for _, word, n in some) for some in combinations(first, together)]
+    return pd.util.hash_array(np.array(keys, dtype=object), categorize=False).view(np.int64).tolist()
+
+
 def most_edits(a: int, b: int, similarity: float) -> int:
     """Edits that two texts of so many words may differ by."""
     return int((1 - similarity) * max(a, b) + 1e-9)
@@ -147,20 +171,24 @@ def banded_distance(a: list[str], b: list[str], band: int) -> int | None:
     return edits if edits <= band else None
 
 
-def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, h (md5 of the text) and sketch of every document."""
+def sketched(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+) -> DataFrame:
+    """id, h (md5 of the text), sketch and the short text's keys of every document."""
     ship_package(docs.sparkSession)
 
-    @F.pandas_udf("array<long>")
-    def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("sketch array<long>, short array<long>")
+    def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.Series([
-                order_minhash(labelled_kmers(words)).view(np.int64)
-                for words in word_hashes(list(batch))], dtype=object)
+            of, keys = [], []
+            for text, words in zip(batch, word_hashes(list(batch))):
+                of.append(order_minhash(labelled_kmers(words)).view(np.int64))
+                keys.append(short_keys(text.lower().split(), similarity) if len(words) <= SHORT else [])
+            yield pd.DataFrame({"sketch": of, "short": keys})
 
     return docs.select(
         named(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"),
-        sketch(text_of(text_col)).alias("sketch"))
+        sketch(text_of(text_col)).alias("s")).select("id", "h", "s.*")
 
 
 def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
@@ -234,7 +262,8 @@ def near_groups(
     which parts no pair within the similarity. So of the texts that agree in one sketch
     all links count. Texts of scattered edits may agree in none: an edit changes five
     k-mers, and a sketch agrees with about the fifth power of the k-mers' Jaccard
-    similarity.
+    similarity. Texts of up to ``SHORT`` words meet by their words as well (``short_keys``),
+    and so by the similarity alone.
 
     Null texts are empty texts; empty texts are one class. Null ids are members like any
     other; a class of null ids only has a null class_id. Rows that repeat id and text share
@@ -247,9 +276,10 @@ def near_groups(
 
 def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     """id, h, label (smallest h of the class) and class_id of every document."""
-    ids = written(sketched(docs, id_col, text_col), "near-sketches")
+    ids = written(sketched(docs, id_col, text_col, similarity), "near-sketches")
     sketches = ids.dropDuplicates(["h"])
-    nodes = sketches.select("h", F.posexplode("sketch").alias("band", "key"))
+    nodes = sketches.select("h", F.posexplode("sketch").alias("band", "key")).unionByName(
+        sketches.select("h", F.lit(SKETCHES).alias("band"), F.explode("short").alias("key")))
     hubs = nodes.groupBy("band", "key").agg(
         F.min("h").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     active = written(nodes.join(hubs, ["band", "key"]), "near-buckets")

@@ -210,6 +210,25 @@ def test_all_links_of_texts_that_share_a_passage(spark):
     assert {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()} == expected
 
 
+def test_all_links_of_short_texts(spark):
+    draw = random.Random(10)
+    known, texts = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(300)], []
+    for n in [*range(1, 25)] * 6:
+        base = draw.choices(known, k=n)
+        texts.append(" ".join(base))
+        for _ in range(3):
+            words = list(base)
+            for _ in range(draw.randint(1, max(1, n // 5))):
+                at = draw.randrange(len(words) + 1)
+                words[at:at + draw.randint(0, 1)] = draw.choices(known, k=draw.randint(0, 1))
+            texts.append(" ".join(words))
+    texts += ["a b c d e f g h", "a b c d e f g h i", "k l m n o p q r s", "k l m n o p q r t"]
+    texts = [t for t in texts if len(t.split()) <= near.SHORT]
+    expected = linked_classes(texts)
+    assert len(set(expected.values())) < 0.6 * len(texts)
+    assert {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()} == expected
+
+
 def test_repeated_windows():
     draw = random.Random(3)
     for _ in range(150):
