@@ -14,16 +14,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklens.llm.common import fitted, named, sampled, share, text_of, written
+from clicklens.llm.common import fitted, named, sampled, share, ship_package, text_of, written
 
-TEXTS = 2000  # documents that the dictionary and the character transitions come from, at most
 LABELLED = 4000  # labelled findings of each kind that the forest is fitted on, at most
 TREES, DEPTH = 40, 8
+COUNTED = 200_000  # words that a task counts before it hands them on
+AT_ONCE = 10_000  # places of a candidate that are looked up at a time
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_\-])[A-Za-z0-9+/=_\-]{16,}")
 # Names that a value is given to when it is meant to be secret.
 SECRET_NAMES = re.compile(
     r"(token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)"
     r"s?[\"']?\s*[:=]\s*[\"']?$", re.I)
+WORD = re.compile(r"[a-z]{3,12}")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 FEATURES = (
     "length digits upper lower other changes distinct entropy transition covered quoted assigned "
@@ -31,21 +33,49 @@ FEATURES = (
 ).split()
 
 
-@dataclass
-class Dictionary:
-    words: set[str]
-    transitions: np.ndarray  # log probabilities of the next character
+def tallied(name: str, counts: Counter[str]) -> pd.DataFrame:
+    return pd.DataFrame({
+        name: pd.Series(list(counts), dtype=object),
+        "n": pd.Series(list(counts.values()), dtype="int64")})
+
 
+def counted_words(texts: DataFrame) -> DataFrame:
+    """word and n of all words of all texts (a column ``text``), candidates left out.
 
-def fit_dictionary(texts: list[str], most_words: int = 5000) -> Dictionary:
-    counts = Counter(w for t in texts for w in re.findall(r"[a-z]{3,12}", t.lower()))
+    A word is a run of 3 to 12 letters a-z, in lower case; longer runs are cut.
+    """
+    ship_package(texts.sparkSession)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                counts.update(WORD.findall(CANDIDATE.sub(" ", text).lower()))
+                if len(counts) >= COUNTED:
+                    yield tallied("word", counts)
+                    counts.clear()
+        yield tallied("word", counts)
+
+    rows = texts.select("text").mapInPandas(count, "word string, n long")
+    return written(rows.groupBy("word").agg(F.sum("n").alias("n")), "secret-words")
+
+
+def transitions(words: DataFrame) -> np.ndarray:
+    """Log probabilities of the next character, from the letter pairs of all words (word, n)."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs: Counter[str] = Counter()
+        for batch in batches:
+            for word, n in zip(batch["word"], batch["n"]):
+                for at in range(len(word) - 1):
+                    pairs[word[at:at + 2]] += n
+        yield tallied("pair", pairs)
+
+    rows = words.mapInPandas(count, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     pairs = np.ones((len(ALPHABET) + 1,) * 2)
-    for word, n in counts.items():
-        at = [ALPHABET.index(c) for c in word]
-        for a, b in zip(at, at[1:]):
-            pairs[a, b] += n
-    words = {w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most_words]}
-    return Dictionary(words, np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+    for row in rows.collect():  # two letters: 676 rows at most
+        a, b = map(ALPHABET.index, row["pair"])
+        pairs[a, b] += row["n"]
+    return np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
 
 def covered(text: str, words: set[str]) -> float:
@@ -62,8 +92,11 @@ def covered(text: str, words: set[str]) -> float:
     return hit / max(1, len(text))
 
 
-def features(text: str, start: int, end: int, path: str, known: Dictionary) -> list[float]:
-    """What the forest sees of one candidate. ``path`` is where the text comes from."""
+def features(text: str, start: int, end: int, path: str, known: np.ndarray) -> list[float]:
+    """What the forest sees of one candidate, its coverage by words left open.
+
+    ``path`` is where the text comes from, ``known`` has the character transitions.
+    """
     found = text[start:end]
     low = found.lower()
     kinds = "".join("d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o"
@@ -78,7 +111,7 @@ def features(text: str, start: int, end: int, path: str, known: Dictionary) -> l
         float(n), kinds.count("d") / n, kinds.count("u") / n, kinds.count("l") / n,
         kinds.count("o") / n, sum(a != b for a, b in zip(kinds, kinds[1:])) / n,
         len(times) / n, float(-(times * np.log2(times)).sum()),
-        float(known.transitions[at[:-1], at[1:]].mean()), covered(low, known.words),
+        float(known[at[:-1], at[1:]].mean()), 0.0,
         float(left[-1:] in "\"'" and left != "" and right[:1] == left[-1:]),
         float(bool(re.search(r"[:=]\s*[\"']?$", left))),
         float(xxhash.xxh32_intdigest(before[0].lower()) % 1024),
@@ -146,19 +179,20 @@ def fit_forest(x: np.ndarray, y: np.ndarray, seed: int = 11) -> Forest:
 
 
 def findings(
-    docs: DataFrame, known: Dictionary, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, known: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
     path_col: str = "source", learn: Column | None = None,
 ) -> DataFrame:
-    """Every candidate of every whole text: id, learn, start, length, digest, named, features.
+    """Every candidate of every whole text: id, learn, start, length, digest, low, named, features.
 
     A candidate is a run of 16 or more letters, digits and + / = _ -. ``named`` says that
-    it is given to a name that speaks of a secret; ``digest`` is its sha256; ``learn`` is
+    it is given to a name that speaks of a secret; ``digest`` is its sha256; ``low`` is the
+    candidate in lower case, which ``with_coverage`` drops; ``learn`` is
     that condition on its document. Null and empty texts have none.
     """
     shared = share(docs, known)
 
     @F.pandas_udf(
-        "array<struct<start: long, length: long, digest: string, named: boolean, "
+        "array<struct<start: long, length: long, digest: string, low: string, named: boolean, "
         "features: array<double>>>")
     def scan(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         known = shared.value
@@ -168,6 +202,7 @@ def findings(
                 {
                     "start": m.start(), "length": m.end() - m.start(),
                     "digest": hashlib.sha256(m[0].encode()).hexdigest(),
+                    "low": m[0].lower(),
                     "named": SECRET_NAMES.search(text, max(0, m.start() - 60), m.start()) is not None,
                     "features": features(text, m.start(), m.end(), path, known),
                 }
@@ -184,29 +219,68 @@ def findings(
     return rows.select("id", "learn", F.explode("found").alias("f")).select("id", "learn", "f.*")
 
 
+def with_coverage(found: DataFrame, words: DataFrame) -> DataFrame:
+    """The findings with their share that words (word, n) cover, without ``low``.
+
+    The words that a candidate may hold are looked up by a join, so there may be any number
+    of words.
+    """
+    found = found.withColumn("low_md5", F.md5("low"))
+    lows = written(found.select("low_md5", "low").dropDuplicates(["low_md5"]), "secret-lows")
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, low in zip(batch["low_md5"], batch["low"]):
+                for begin in range(0, len(low), AT_ONCE):
+                    words = set()
+                    for i in range(begin, min(len(low), begin + AT_ONCE)):
+                        m = WORD.match(low, i)
+                        if m:
+                            words.update(m[0][:n] for n in range(3, len(m[0]) + 1))
+                    yield pd.DataFrame({"word": pd.Series(list(words), dtype=object)}).assign(
+                        low_md5=key)
+
+    held = written(lows.mapInPandas(parts, "low_md5 string, word string").distinct(), "secret-parts")
+    held = held.join(words.select("word"), "word").groupBy("low_md5").agg(
+        F.collect_list("word").alias("words"))
+
+    @F.pandas_udf("double")
+    def share_of(texts: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series([covered(text, set(words)) for text, words in zip(texts, known)], dtype=float)
+
+    shares = written(
+        lows.join(held, "low_md5").select("low_md5", share_of("low", "words").alias("covered")),
+        "secret-coverage")
+    place = FEATURES.index("covered")
+    of = F.transform("features", lambda x, i: F.when(
+        i == place, F.coalesce("covered", F.lit(0.0))).otherwise(x))
+    return found.join(shares, "low_md5", "left").withColumn("features", of).drop(
+        "low", "low_md5", "covered")
+
+
 def scan_secrets(
     docs: DataFrame,
     training: Column,
     labels: DataFrame | None = None,
     id_col: str = "doc_id", text_col: str = "text", path_col: str = "source",
-    texts: int = TEXTS, labelled: int = LABELLED, least: float = 0.5,
+    labelled: int = LABELLED, least: float = 0.5,
 ) -> DataFrame:
     """Every candidate with its probability: id, start, length, digest, probability, is_secret.
 
     The forest is fitted on labelled findings of the documents that ``training`` selects
     (a condition on the columns of ``docs``): ``labels`` has id_col, start and is_secret.
     Without them, a finding with digits counts as a secret if it is given to a name that
-    speaks of one, any other finding as a false positive. Samples are bounded: ``texts``
-    documents for dictionary and transitions, ``labelled`` findings of each kind.
+    speaks of one, any other finding as a false positive. At most ``labelled`` findings of
+    each kind are sampled; words and character transitions are counted over all documents
+    that ``training`` selects.
     With findings of one kind only, all probabilities are that kind's; with none, 0.
     A null text has no candidate, a null id is carried along, rows that repeat are each
     scanned, and an empty table gives no rows.
     """
     training = F.coalesce(training, F.lit(False))
-    sample = docs.where(training).select(named(id_col).alias("id"), text_of(text_col).alias("text"))
-    known = fitted(
-        sampled(sample, texts, F.col("id")), lambda rows: fit_dictionary(sorted(rows["text"])))
-    found = written(findings(docs, known, id_col, text_col, path_col, training), "secrets")
+    words = counted_words(docs.where(training).select(text_of(text_col).alias("text")))
+    found = findings(docs, transitions(words), id_col, text_col, path_col, training)
+    found = written(with_coverage(written(found, "secret-findings"), words), "secrets")
     if labels is None:
         has_digit = F.element_at("features", 1 + FEATURES.index("digits")) > 0
         judged = found.withColumn("is_secret", F.col("named") & has_digit)

@@ -295,3 +295,26 @@ def test_secrets_are_found_and_long_words_are_not(spark):
         found = r.text[r.start:r.start + r.length]
         assert r.is_secret == (any(c.isdigit() for c in found) and len(found) == 40)
     assert len([r for r in rows if r.is_secret]) > 100
+
+
+def test_words_of_all_documents_are_counted(spark):
+    draw = random.Random(11)
+    known = list({"".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 12))) for _ in range(7000)})
+    texts = [" ".join(w for w in known[i::2500]) for i in range(2500)]
+    held = ["-".join(known[i:i + 5]) for i in range(0, 7000 - 5, 700)]
+    texts += [f"{x} {'9' * 16} x" for x in held]
+    rows = frame_of(spark, texts)
+    words = secrets.counted_words(rows)
+    counts = Counter(known)
+    assert {r.word: r.n for r in words.collect()} == counts
+    pairs = np.ones((37, 37))
+    for word in known:
+        for a, b in zip(word, word[1:]):
+            pairs[ord(a) - 97, ord(b) - 97] += 1
+    chances = secrets.transitions(words)
+    assert np.allclose(chances, np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+    found = secrets.with_coverage(secrets.findings(rows, chances, path_col="text"), words).collect()
+    shares = {(r.id, r.start): r.features[secrets.FEATURES.index("covered")] for r in found}
+    for i, x in enumerate(held):
+        assert shares[2500 + i, 0] == secrets.covered(x, set(known)) > 0.5
+        assert shares[2500 + i, len(x) + 1] == 0
