@@ -46,9 +46,14 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def id_hash(id_column: str) -> Column:
+    """crc32 of the id as text; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(named(id_column).cast("string"), F.lit("")))
+
+
 def remainder(id_column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as an empty text."""
-    return F.crc32(F.coalesce(named(id_column).cast("string"), F.lit(""))) % divisor
+    return id_hash(id_column) % divisor
 
 
 def written(rows: DataFrame, purpose: str) -> DataFrame:

@@ -1,12 +1,24 @@
-"""The queries op1 to op10: each applies one operator, with production parameters, to its whole table."""
+"""The queries op1 to op13: each applies one operator, with production parameters, to its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklens.llm import exact, fingerprints, langid, lm, mixing, near, pieces, quality, secrets, suffixes
-from clicklens.llm.common import remainder, table
+from clicklens.llm import (
+    exact,
+    fingerprints,
+    langid,
+    lm,
+    mixing,
+    near,
+    periodic,
+    pieces,
+    quality,
+    secrets,
+    suffixes,
+)
+from clicklens.llm.common import GAP, id_hash, remainder, table, text_of
 
 # Documents searched for near fingerprints: every id divisible by this, against all.
 SEARCHED = 50
@@ -97,6 +109,34 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, folder, "documents"))
 
 
+def with_periodic_tail(docs: DataFrame) -> DataFrame:
+    """doc_id and text; by the crc32 of its id, every tenth text ends in a stretch that repeats.
+
+    Where the crc32 h ends in 0 and there are n words, words from a = h//10 % n on repeat the
+    first p = 1 + (n - a) // (3 + h//10 % 8) of them.
+    """
+    h = id_hash("doc_id")
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text_of("text"), GAP), lambda word: word != "")
+    n, a, p = F.size("words"), F.col("a"), F.col("p")
+    rows = docs.select(
+        "doc_id", text_of("text").alias("text"), g.alias("g"),
+        F.when(h % 10 == 0, words).alias("words"),
+    ).withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(
+        F.slice("words", a + 1, p), (F.floor((n - a) / p) + 1).cast("int")))
+    repeated = F.concat(F.slice("words", F.lit(1), a), F.slice(tail, F.lit(1), n - a))
+    return rows.select(
+        "doc_id", F.when(n > 0, F.concat_ws(" ", repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's number of runs, its greatest run, and digests of the runs and the rest."""
+    docs = with_periodic_tail(table(spark, folder, "documents"))
+    return periodic.periodic_runs(docs, digest=True).select("row.doc_id", *periodic.DIGEST)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -108,4 +148,5 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
     "op10_suffixes": op10_suffixes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
