@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklens.llm import (
+    chunks,
     exact,
     fingerprints,
     langid,
@@ -109,6 +110,12 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, folder, "documents"))
 
 
+def op12_chunk_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's number of byte-pair ids, and digests of the ids and the decoded text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return chunks.chunk_encoded(docs, digest=True).select("row.doc_id", *chunks.DIGEST)
+
+
 def with_periodic_tail(docs: DataFrame) -> DataFrame:
     """doc_id and text; by the crc32 of its id, every tenth text ends in a stretch that repeats.
 
@@ -148,5 +155,6 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
     "op10_suffixes": op10_suffixes,
+    "op12_chunk_encoding": op12_chunk_encoding,
     "op13_periodic_runs": op13_periodic_runs,
 }
