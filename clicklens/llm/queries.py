@@ -18,6 +18,7 @@ from clicklens.llm import (
     quality,
     secrets,
     suffixes,
+    variants,
 )
 from clicklens.llm.common import GAP, id_hash, remainder, table, text_of
 
@@ -110,6 +111,21 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, folder, "documents"))
 
 
+def with_slips(runs: DataFrame) -> DataFrame:
+    """(word) of runs (id, run); where 31 divides the crc32 h of id:run, its letter h % length is left out."""
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), "run"))
+    at = (h % F.char_length("run")).cast("int")
+    slip = F.concat(
+        F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    return runs.select(F.when(h % 31 == 0, slip).otherwise(F.col("run")).alias("word"))
+
+
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """word, form, root, n, n_near, form_n of every word of all documents."""
+    runs = variants.runs_of_letters(table(spark, folder, "documents"))
+    return variants.spelling_variants(variants.count_words(with_slips(runs)))
+
+
 def op12_chunk_encoding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's number of byte-pair ids, and digests of the ids and the decoded text."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -155,6 +171,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_secrets": op9_secrets,
     "op10_suffixes": op10_suffixes,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_chunk_encoding": op12_chunk_encoding,
     "op13_periodic_runs": op13_periodic_runs,
 }
