@@ -29,7 +29,7 @@ from clicklens.sources import (
     rejected_lines,
     shop_views,
 )
-from clicklens.streaming import AdJobs, StateOptions
+from clicklens.streaming import AdJobs, CityCounts, StateOptions
 
 CONDITION = Condition.from_dict({
     "startDate": "2024-01-05",
@@ -254,6 +254,13 @@ def _count_fields(spark, folder):
     return ads.count_fields(_city_counts(spark, folder))
 
 
+def _state_options(spark: SparkSession, keep_days: int | None = None) -> StateOptions:
+    """One process needs no more state partitions than it has cores; a cluster's session says."""
+    context = spark.sparkContext
+    cores = context.defaultParallelism if context.master.startswith("local") else None
+    return StateOptions(partitions=cores, keep_days=keep_days)
+
+
 def _stream(spark: SparkSession, folder: str, counters: bool) -> AdJobs:
     """All click lines through the streaming jobs, as three micro-batches in day order.
 
@@ -261,11 +268,7 @@ def _stream(spark: SparkSession, folder: str, counters: bool) -> AdJobs:
     checkpoints for the next.
     """
     place = shared_dir(spark, "ads")
-    # One process needs no more state partitions than it has cores; a cluster's
-    # number is what its session says.
-    context = spark.sparkContext
-    cores = context.defaultParallelism if context.master.startswith("local") else None
-    jobs = AdJobs(spark, f"{place}/jobs", CLICKS_TO_LIST, StateOptions(partitions=cores))
+    jobs = AdJobs(spark, f"{place}/jobs", CLICKS_TO_LIST, _state_options(spark))
     lines = shop_views.ad_click_lines(spark, folder)
     second, third = STRETCHES
     day = F.col("day")
@@ -295,6 +298,20 @@ def _area_ads_top3(spark, folder):
     return _stream(spark, folder, counters=True).area_top.read()
 
 
+def _city_counts_late(spark, folder):
+    """Counts whose state keeps five days: most clicks of the third batch come later than that."""
+    place = shared_dir(spark, "late")
+    counts = CityCounts(spark, f"{place}/counts", _state_options(spark, keep_days=5))
+    lines = shop_views.ad_click_lines(spark, folder)
+    first, last = F.col("day") < STRETCHES[0], F.col("day") >= STRETCHES[1]
+    chosen = F.crc32("value") % 3 == 0
+    for part in (first & chosen, last & chosen, ~(chosen & (first | last))):
+        lines.where(part).select("value").write.mode("append").text(f"{place}/lines")
+        clicks = parse_clicks(read_lines(spark, "text", path=f"{place}/lines"))
+        counts.start(clicks, availableNow=True).awaitTermination()
+    return counts.read()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name -> (spark, folder of the tables) -> result."""
     return {
@@ -338,6 +355,7 @@ def _shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "ad_user_clicks_streamed": _ad_user_clicks_streamed,
             "area_city_ads_per_day_streamed": _area_city_ads_per_day,
             "area_ads_top3_streamed": _area_ads_top3,
+            "area_city_ads_per_day_late": _city_counts_late,
         }.items()
     }
 
@@ -579,4 +597,5 @@ def oracle_sql() -> dict[str, str]:
         "ad_user_clicks_streamed": _with(_counts("clean", user_ad), _LISTED),
         "area_city_ads_per_day_streamed": _with(_counts("clean", area_city), _LISTED),
         "area_ads_top3_streamed": _with(_top_json("clean"), _LISTED),
+        "area_city_ads_per_day_late": _with(_counts("ad_click", area_city)),
     }

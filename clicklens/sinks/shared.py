@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,7 +32,13 @@ class SharedFolder:
         start = f"{self.label}="
         return sorted(int(name[len(start):]) for name in names if name.startswith(start))
 
-    def publish(self, rows: DataFrame, number: int) -> None:
+    def publish(
+        self,
+        rows: DataFrame,
+        number: int,
+        partition_by: str | None = None,
+        options: Mapping[str, str] | None = None,
+    ) -> None:
         """Write ``rows`` beside the folder, then rename them into place.
 
         A number that is already there is left alone, so a batch that is run
@@ -39,10 +47,25 @@ class SharedFolder:
         if self.has(number):
             return
         staging = f"{self.path}.staging/{self.label}={number}"
-        rows.write.mode("overwrite").parquet(staging)
+        writer = rows.write.mode("overwrite").options(**(options or {}))
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(staging)
         moved = self._files.rename(self._new_path(staging), self._new_path(self.part(number)))
         if not moved:
             raise OSError(f"could not move {staging} to {self.part(number)}")
 
     def drop(self, number: int) -> None:
         self._files.delete(self._new_path(self.part(number)), True)
+
+    def parts(self, number: int) -> list[str]:
+        """Names of a sub-folder's partitions."""
+        listed = self._files.listStatus(self._new_path(self.part(number)))
+        return [s.getPath().getName() for s in listed if s.isDirectory()]
+
+    def drop_part(self, number: int, name: str) -> None:
+        # The name is as the file system has it, so it must not be parsed as a path text.
+        folder = self._new_path(self.part(number))
+        for status in self._files.listStatus(folder):
+            if status.getPath().getName() == name:
+                self._files.delete(status.getPath(), True)

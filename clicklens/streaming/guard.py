@@ -20,7 +20,8 @@ from clicklens.plans.ads import USER_KEYS, users_to_list
 from clicklens.sinks import KeyedTable, SharedFolder
 from clicklens.sources import parse_clicks, read_clicks, rejected_lines
 from clicklens.sources.schemas import AD_CLICK, BLACKLIST, USER_CLICKS
-from clicklens.streaming.running import StateOptions, start_counting
+from clicklens.streaming.retention import drop_read
+from clicklens.streaming.running import StateOptions, running_counts, start_counting
 
 
 class ClickGuard:
@@ -40,7 +41,8 @@ class ClickGuard:
         self._clean = SharedFolder(spark, f"{folder}/clean")
         self._rejected = SharedFolder(spark, f"{folder}/rejected")
         self._listed = KeyedTable(spark, f"{folder}/blacklist", BLACKLIST, ["user_id"], 200)
-        self._counts = KeyedTable(spark, f"{folder}/user_clicks", USER_CLICKS, USER_KEYS, 1000)
+        self._counts = KeyedTable(
+            spark, f"{folder}/user_clicks", USER_CLICKS, USER_KEYS, 1000, "day")
 
     def listed(self) -> DataFrame:
         """The users on the blacklist."""
@@ -71,7 +73,7 @@ class ClickGuard:
     def start_growth(self, **trigger) -> StreamingQuery:
         """Count the clicks that passed and list users; by default as soon as there are any."""
         return start_counting(
-            self.clean_stream(), USER_KEYS, self._grow, f"{self._folder}/checkpoints/growth",
+            running_counts(self.clean_stream(), USER_KEYS), self._grow, f"{self._folder}/checkpoints/growth",
             self._state, trigger=trigger,
         )
 
@@ -99,6 +101,12 @@ class ClickGuard:
             .start()
         )
 
+    def drop_clean_read(self, *readers: str) -> None:
+        """Remove stored clicks that growth and the other ``readers`` (checkpoints) are through with."""
+        checkpoints = f"{self._folder}/checkpoints"
+        drop_read(
+            self._spark, self._clean, f"{checkpoints}/filter", [f"{checkpoints}/growth", *readers])
+
     def drop_clean_before(self, batch_id: int) -> None:
         """Remove stored clicks of earlier batches, once all queries are through with them."""
         for number in self._clean.numbers():

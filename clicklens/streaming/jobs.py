@@ -43,6 +43,10 @@ class AdJobs:
         """Until a query ends or fails, or for ``timeout`` seconds."""
         self._spark.streams.awaitAnyTermination(timeout)
 
+    def drop_clean_read(self) -> None:
+        """Remove the stored clicks that all jobs are through with; safe while they run."""
+        self.guard.drop_clean_read(self.city_counts.checkpoint, self.area_top.checkpoint)
+
     def run_available(self, lines: DataFrame, counters: bool = True) -> None:
         """Work off all lines there are, then stop."""
         self.filter_available(lines)

@@ -15,9 +15,11 @@ from clicklens.session import STATE_SETTINGS, changed_settings
 
 @dataclass(frozen=True)
 class StateOptions:
-    """How running counts are kept.
+    """How running counts are kept. A late click always adds to its own day.
 
-    They are kept for ever, and a late click still adds to its own day.
+    With ``keep_days`` counts leave Spark's state once their day is more than so many days
+    older than the newest one; clicks that come still later are added to the stored counts.
+    Without, all counts are kept in the state for ever.
 
     ``partitions`` is the number of state partitions, else the session's number
     of shuffle partitions. It is fixed by a query's first batch for good, so
@@ -25,6 +27,7 @@ class StateOptions:
     """
 
     partitions: int | None = None
+    keep_days: int | None = None
 
 
 def running_counts(clicks: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,24 +35,34 @@ def running_counts(clicks: DataFrame, keys: Sequence[str]) -> DataFrame:
     return clicks.groupBy(*keys).agg(F.count("*").alias("clicks"))
 
 
+def running_sums(sums: DataFrame, keys: Sequence[str], keep_days: int) -> DataFrame:
+    """Sums of ``clicks`` per key so far, of days up to ``keep_days`` before the newest one.
+
+    The watermark is a day behind that: Spark counts what equals it as late.
+    """
+    day = F.to_timestamp("day", "yyyy-MM-dd")
+    return (
+        sums.withColumn("at", day).withWatermark("at", f"{keep_days + 1} days")
+        .groupBy("at", *keys).agg(F.sum("clicks").alias("clicks")).select(*keys, "clicks")
+    )
+
+
 def start_counting(
-    clicks: DataFrame,
-    keys: Sequence[str],
+    counts: DataFrame,
     store: Callable[[DataFrame, int], None],
     checkpoint: str,
     state: StateOptions,
     output_mode: str = "update",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Count clicks per key and give each batch's counts to ``store(counts, batch_id)``."""
+    """Keep running counts and give each batch's changed ones to ``store(counts, batch_id)``."""
 
     def store_whole(batch: DataFrame, batch_id: int) -> None:
-        with _whole(batch) as counts:
-            store(counts, batch_id)
+        with _whole(batch) as changed:
+            store(changed, batch_id)
 
     writer = (
-        running_counts(clicks, keys)
-        .writeStream.outputMode(output_mode)
+        counts.writeStream.outputMode(output_mode)
         .foreachBatch(store_whole)
         .option("checkpointLocation", checkpoint)
     )
@@ -59,7 +72,7 @@ def start_counting(
     if state.partitions:
         settings["spark.sql.shuffle.partitions"] = str(state.partitions)
     # A query takes its settings from the session when it starts.
-    with changed_settings(clicks.sparkSession, settings):
+    with changed_settings(counts.sparkSession, settings):
         return writer.start()
 
 

@@ -9,10 +9,12 @@ from clicklens.session import shared_dir
 from clicklens.sinks import (
     KeyedTable,
     SharedFolder,
+    SummedTable,
     replace_jdbc_table,
     save_table,
     truncate_and_load,
 )
+from clicklens.sinks.keyed import values_of, with_values
 from clicklens.sources import Condition, load_tables
 from clicklens.sources.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO
 
@@ -89,6 +91,76 @@ def test_keys_alone_are_a_set(spark, rows):
     assert rows(table.read()) == [("a",), ("b",), ("c",)]
 
 
+DAYS = T.StructType().add("day", "string").add("k", "string").add("n", "long")
+
+
+def by_day(spark, *rows):
+    return spark.createDataFrame(rows, DAYS)
+
+
+@pytest.mark.parametrize("compact_every", [None, 1, 3])
+def test_tables_by_day_equal_those_without(spark, rows, compact_every):
+    """Newest values and sums, with days that come back, null days and odd names."""
+    place = shared_dir(spark, "days")
+    newest = KeyedTable(spark, f"{place}/k", DAYS, ["day", "k"], compact_every, "day")
+    sums = SummedTable(spark, f"{place}/s", DAYS, ["day", "k"], compact_every, "day")
+    last, total = {}, {}
+    for batch_id in range(6):
+        keys = [(day, f"k{batch_id % 2}") for day in (f"d{batch_id // 3}", "a/b=c %1", None)]
+        changed = {key: batch_id for key in keys + [("d0", "k")] * (batch_id % 4 == 3)}
+        last |= changed
+        total = {key: total.get(key, 0) + changed.get(key, 0) for key in {*total, *changed}}
+        for table in (newest, sums):
+            for _ in range(2):  # a batch that is run again is not stored again
+                table.put(by_day(spark, *((*key, n) for key, n in changed.items())), batch_id)
+        assert rows(newest.read()) == sorted(((*k, n) for k, n in last.items()), key=repr)
+        assert rows(sums.read()) == sorted(((*k, n) for k, n in total.items()), key=repr)
+
+
+def test_only_touched_days_are_read_and_folded(spark, rows):
+    place = shared_dir(spark, "days")
+    table = KeyedTable(spark, place, DAYS, ["day", "k"], partition_by="day")
+    folded = SharedFolder(spark, f"{place}/folded")
+    for batch_id, days in enumerate(["ab", "b", "b", "bc"]):
+        table.put(by_day(spark, *((day, "k", batch_id) for day in days)), batch_id)
+        before = table.read()
+        table.compact()
+        assert sorted(folded.parts(batch_id)) == [f"day={day}" for day in days]
+        # A reader that began before the fold still finds its files.
+        assert rows(before) == rows(table.read())
+    # Day a stays in the first fold; later ones have b anew, of which two are kept.
+    assert {n: sorted(folded.parts(n)) for n in folded.numbers()} == {
+        0: ["day=a"], 2: ["day=b"], 3: ["day=b", "day=c"]}
+    assert rows(table.read()) == [("a", "k", 0), ("b", "k", 3), ("c", "k", 3)]
+    one = with_values(table.read(), "day", ["a"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan
+    assert {name.split("/")[-2] for name in one.inputFiles()} <= {"day=a", "day=b", "day=c"}
+    scanned = [line for line in plan.splitlines() if "PartitionFilters" in line and "= a)" in line]
+    assert scanned
+    assert values_of(table.read(), "day", 2) is None and len(values_of(table.read(), "day", 3)) == 3
+
+
+def test_folds_have_bloom_filters_on_keys(spark):
+    import pyarrow.parquet as pq
+
+    place = shared_dir(spark, "bloom")
+    table = KeyedTable(spark, place, DAYS, ["day", "k"], partition_by="day")
+    table.put(by_day(spark, *(("d", f"key-{i}", i) for i in range(5000))), 0)
+    table.compact()
+    found = table.read().where("day = 'd' AND k = 'key-77'")
+    assert [tuple(r) for r in found.collect()] == [("d", "key-77", 77)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,key-77)" in plan
+    name = next(f for f in found.inputFiles() if "folded" in f)
+    hadoop = spark._jvm.org.apache.parquet.hadoop
+    file = hadoop.util.HadoopInputFile.fromPath(
+        spark._jvm.org.apache.hadoop.fs.Path(name), spark._jsc.hadoopConfiguration())
+    columns = hadoop.ParquetFileReader.open(file).getFooter().getBlocks().get(0).getColumns()
+    where = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in columns}
+    assert where["k"] > 0
+
+
 def test_saved_tables_are_replaced_and_found(spark, make_actions, rows):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     days = ["2019-03-20", "2019-03-21"]

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from clicklens.plans import ad_clicks_per_area_city, ad_totals_per_area, area_top_ads
 from clicklens.session import shared_dir
-from clicklens.sources import read_lines
+from clicklens.sinks import SharedFolder
+from clicklens.sources import parse_clicks, read_lines
 from clicklens.streaming import AdJobs, CityCounts, StateOptions
+from clicklens.streaming.retention import committed
 from clicklens.streaming.running import running_counts
 
 DAY = 1553040000000  # 2019-03-20 00:00 UTC
@@ -179,6 +181,88 @@ def test_late_clicks_add_to_their_day(spark, stream):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+def day_line(day, n=0, **more):
+    return line("u", ts=DAY + day * 86400000 + n, **more)
+
+
+class Kept:
+    """Counts with a state of two days, over lines that arrive batch by batch."""
+
+    def __init__(self, stream):
+        self.s = stream()
+        self.place = f"{self.s.place}/kept"
+        self.open()
+
+    def open(self):
+        self.counts = CityCounts(self.s.spark, self.place, StateOptions(keep_days=2))
+
+    def run(self):
+        query = self.counts.start(parse_clicks(self.s.lines()), availableNow=True)
+        query.awaitTermination()
+        return query
+
+    def arrive(self, *lines):
+        self.s.arrive(*lines)
+        return self.run()
+
+    def batch_answer(self):
+        lines = self.s.spark.read.text(f"{self.s.place}/lines")
+        return ad_clicks_per_area_city(parse_clicks(lines))
+
+
+def test_state_keeps_some_days_and_late_clicks_still_count(stream, rows):
+    kept, totals = Kept(stream), []
+    for day in range(8):
+        # Every batch: a new day with two ads, the day before, and one that is long closed.
+        query = kept.arrive(
+            day_line(day), day_line(day, ad="2"), day_line(day - 1, 5), day_line(day - 6, 7),
+            day_line(0, 9, city="far"))
+        totals.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        dropped = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
+        assert not any(dropped)
+        assert rows(kept.counts.read()) == rows(kept.batch_answer())
+    # Four days of at most four keys each: the newest, two kept, and one behind the watermark.
+    assert max(totals) <= 16 and totals[-1] <= max(totals[:4])
+    assert kept.counts._late.read().count() > 5
+
+
+def test_late_clicks_count_once_when_batches_run_again(spark, stream, rows):
+    kept = Kept(stream)
+    kept.arrive(day_line(0), day_line(9))
+    kept.arrive(day_line(0), day_line(1), day_line(9))
+    for query in ("parting", "counts"):
+        last = committed(spark, f"{kept.place}/checkpoints/{query}")
+        forget_commit(spark, f"{kept.place}/checkpoints/{query}", last)
+    kept.open()
+    kept.run()
+    assert rows(kept.counts.read()) == rows(kept.batch_answer())
+    kept.arrive(day_line(0), day_line(30), "99999999999999,n,c,u,1")
+    kept.arrive(day_line(30), day_line(9))
+    assert rows(kept.counts.read()) == rows(kept.batch_answer())
+
+
+def test_stored_clicks_go_once_all_have_read_them(spark, stream, rows):
+    s = stream()
+    clean = SharedFolder(spark, f"{s.place}/jobs/guard/clean")
+    s.jobs.drop_clean_read()
+    for batch in range(6):
+        s.run(line("u"), line(f"v{batch}", ts=NEXT))
+        if batch == 2:
+            # One reader lags behind: what it has not read stays.
+            s.run(line("u"), counters=False)
+        s.jobs.drop_clean_read()
+        assert len(clean.numbers()) <= 2
+        s.jobs = s.new_jobs()
+    forget_commit(spark, f"{s.place}/jobs/city/checkpoints/counts", 5)
+    forget_commit(spark, f"{s.place}/jobs/guard/checkpoints/filter", 6)
+    s.jobs = s.new_jobs()
+    s.run(line("u"))
+    s.jobs.drop_clean_read()
+    assert s.jobs.city_counts.read().agg(F.sum("clicks")).first()[0] == 14
+    counts = {(r.user_id, r.day): r.clicks for r in s.jobs.guard.user_clicks().collect()}
+    assert counts["u", "2019-03-20"] == 8
+
+
 def test_old_clean_clicks_can_be_dropped(stream):
     s = stream()
     s.run(line("u"))
