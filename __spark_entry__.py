@@ -29,7 +29,7 @@ from clicklens.sources import (
     rejected_lines,
     shop_views,
 )
-from clicklens.streaming import AdJobs, CityCounts, StateOptions
+from clicklens.streaming import AdJobs, CityCounts, StatefulGuard, StateOptions
 
 CONDITION = Condition.from_dict({
     "startDate": "2024-01-05",
@@ -298,6 +298,31 @@ def _area_ads_top3(spark, folder):
     return _stream(spark, folder, counters=True).area_top.read()
 
 
+def _guarded(spark: SparkSession, folder: str) -> StatefulGuard:
+    """All click lines through the one-operator blacklist, stretch by stretch."""
+    place = shared_dir(spark, "guard")
+    lines = shop_views.ad_click_lines(spark, folder)
+    second, third = STRETCHES
+    day = F.col("day")
+    for stretch in (day < second, (day >= second) & (day < third), day >= third):
+        guard = StatefulGuard(spark, f"{place}/guard", CLICKS_TO_LIST, _state_options(spark))
+        lines.where(stretch).select("value").write.mode("append").text(f"{place}/lines")
+        guard.run_available(read_lines(spark, "text", path=f"{place}/lines"))
+    return guard
+
+
+def _ad_blacklist_stateful(spark, folder):
+    return _guarded(spark, folder).listed()
+
+
+def _ad_clicks_clean_stateful(spark, folder):
+    return _guarded(spark, folder).clean_clicks()
+
+
+def _ad_user_clicks_stateful(spark, folder):
+    return _guarded(spark, folder).user_clicks()
+
+
 def _city_counts_late(spark, folder):
     """Counts whose state keeps five days: most clicks of the third batch come later than that."""
     place = shared_dir(spark, "late")
@@ -355,6 +380,9 @@ def _shop_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "ad_user_clicks_streamed": _ad_user_clicks_streamed,
             "area_city_ads_per_day_streamed": _area_city_ads_per_day,
             "area_ads_top3_streamed": _area_ads_top3,
+            "ad_blacklist_stateful": _ad_blacklist_stateful,
+            "ad_clicks_clean_stateful": _ad_clicks_clean_stateful,
+            "ad_user_clicks_stateful": _ad_user_clicks_stateful,
             "area_city_ads_per_day_late": _city_counts_late,
         }.items()
     }
@@ -597,5 +625,8 @@ def oracle_sql() -> dict[str, str]:
         "ad_user_clicks_streamed": _with(_counts("clean", user_ad), _LISTED),
         "area_city_ads_per_day_streamed": _with(_counts("clean", area_city), _LISTED),
         "area_ads_top3_streamed": _with(_top_json("clean"), _LISTED),
+        "ad_blacklist_stateful": _with("SELECT user_id FROM listed", _LISTED),
+        "ad_clicks_clean_stateful": _with("SELECT * FROM clean", _LISTED),
+        "ad_user_clicks_stateful": _with(_counts("clean", user_ad), _LISTED),
         "area_city_ads_per_day_late": _with(_counts("ad_click", area_city)),
     }

@@ -2,5 +2,6 @@ from clicklens.streaming.counters import AreaTopAds, CityCounts
 from clicklens.streaming.guard import ClickGuard
 from clicklens.streaming.jobs import AdJobs
 from clicklens.streaming.running import StateOptions
+from clicklens.streaming.stateful import StatefulGuard
 
-__all__ = ["AdJobs", "AreaTopAds", "CityCounts", "ClickGuard", "StateOptions"]
+__all__ = ["AdJobs", "AreaTopAds", "CityCounts", "ClickGuard", "StateOptions", "StatefulGuard"]
