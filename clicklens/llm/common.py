@@ -98,6 +98,8 @@ def ship_package(spark: SparkSession) -> None:
 
 _shipped: dict[str, str] = {}
 
+SAMPLE_BITS = 12  # leading bits of the hashes that a sample's rows are counted by, at a time
+
 
 def share(rows: DataFrame, value: object) -> Broadcast:
     """A value of bounded size, and this package, for the Python workers of ``rows``."""
@@ -106,8 +108,37 @@ def share(rows: DataFrame, value: object) -> Broadcast:
 
 
 def sampled(rows: DataFrame, bound: int, *keys: Column) -> DataFrame:
-    """At most ``bound`` rows, chosen by the hash of ``keys``: the same ones in every run."""
-    return rows.orderBy(F.xxhash64(*keys), *keys).limit(bound)
+    """At most ``bound`` rows, chosen by the hash of ``keys``: the same ones in every run.
+
+    The hashes alone are counted first, by their leading bits, ever more of them, until the
+    rows up to some hash are between once and twice ``bound``. Only these are put in order, so
+    no task gets more of them, however large the table. Rows of equal keys stay together.
+    """
+    order = F.xxhash64(*keys)
+    smallest, width = -(1 << 63), 64
+    before = 0  # rows whose hash is under the range that is counted
+    last = None
+    while last is None and width > 0:
+        end = smallest + (1 << width) - 1
+        width = max(0, width - SAMPLE_BITS)
+        step = 1 << width
+        found = (
+            rows.where((order >= smallest) & (order <= end))
+            .groupBy(F.shiftright(order, width).alias("head")).count().orderBy("head").collect()
+        )
+        for head, count in found:
+            if before + count >= bound:
+                if before + count <= 2 * bound or width == 0:
+                    last = (head << width) + step - 1
+                else:
+                    smallest = head << width
+                break
+            before += count
+        else:
+            break  # there are no more than ``bound`` rows
+    if last is not None:
+        rows = rows.where(order <= last)
+    return rows.orderBy(order, *keys).limit(bound)
 
 
 def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], object]) -> object:

@@ -23,6 +23,7 @@ from clicklens.llm.lattice import (
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 COMMON = 1 << 18  # words whose counts are broadcast; all others are joined
+SHORT_WORD = 100  # bytes of the longest word that is broadcast
 ROUNDS = 2
 PRIOR = 0.1  # added to each piece's expected count
 AT_ONCE = 1 << 18  # words held by a task before it hands them on
@@ -115,6 +116,22 @@ def fit_pieces(counts: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> np.nd
     return np.append(scores + np.log1p(-end) * (rounds == 0), np.log(end))
 
 
+def most_frequent(lexicon: DataFrame, common: int) -> DataFrame:
+    """At most ``common`` words of the largest counts ``c``, none of them long.
+
+    Words are counted by the size of their count, so that only what is chosen is collected. Of
+    the counts that would go beyond ``common`` no word is chosen.
+    """
+    short = lexicon.where((F.octet_length("word") <= SHORT_WORD) & (F.col("c") > 0))
+    size = F.floor(F.log2("c") * 64)
+    least, total = None, 0
+    for row in short.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect():
+        if total + row["count"] > common:
+            break
+        least, total = row["size"], total + row["count"]
+    return short.where(F.lit(least is not None) & (size >= F.lit(least)))
+
+
 def lm_scores(
     docs: DataFrame,
     learn: Column,
@@ -169,7 +186,7 @@ def lm_scores(
             yield batch
 
     lexicon = written(counts.mapInPandas(score_words, "word string, c long, lp double"), "lm-words")
-    frequent = lexicon.orderBy(F.desc("c"), "word").limit(common).toPandas()
+    frequent = most_frequent(lexicon, common).toPandas()
     known = share(docs, {
         w.encode(): (c, float(base), lp) for w, c, base, lp in zip(
             frequent["word"], frequent["c"], np.log10(frequent["c"] + 0.1), frequent["lp"])
