@@ -1,6 +1,6 @@
 """spark-submit daily_reports.py --condition FILE --database NAME --url JDBC_URL [--extra]
 
-All batch reports of one condition file, from catalog tables into database tables.
+All batch reports of one condition file (JSON, or a properties file that holds it), from catalog tables into database tables.
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ def main(argv: list[str] | None = None) -> None:
     given = options.parse_args(argv)
     spark = build_session("daily reports", hive=True)
     properties = dict(item.split("=", 1) for item in given.property)
+    properties_file = given.condition.endswith(".properties")
+    read = Condition.from_properties if properties_file else Condition.from_file
     run_reports(
-        spark, load_tables(spark, database=given.database),
-        Condition.from_file(spark, given.condition),
+        spark, load_tables(spark, database=given.database), read(spark, given.condition),
         lambda rows, name: truncate_and_load(rows, given.url, name, properties),
         extra=given.extra,
     )

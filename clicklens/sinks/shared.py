@@ -36,7 +36,7 @@ class SharedFolder:
         self,
         rows: DataFrame,
         number: int,
-        partition_by: str | None = None,
+        partition_by: str | list[str] | None = None,
         options: Mapping[str, str] | None = None,
     ) -> None:
         """Write ``rows`` beside the folder, then rename them into place.

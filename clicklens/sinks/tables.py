@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicklens.sinks.shared import SharedFolder
+
 
 def save_table(
     rows: DataFrame,
@@ -39,3 +41,43 @@ def save_table(
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+
+
+def swap_table(
+    rows: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Replace an external Parquet table so that it is there, old or new, at any time.
+
+    The rows are written to a new version folder under ``path``; only then is the table told to
+    look there. If writing fails, the table is as it was. Readers under way finish on the old
+    version, which stays until the next replacement. With other columns than before, and with
+    partitions, which the catalog lists one by one, the definition itself has to be replaced
+    and is missing for a moment.
+    """
+    spark = rows.sparkSession
+    columns = [c for c in rows.columns if c not in partition_by] + list(partition_by)
+    rows = rows.select(*columns)
+    if partition_by:
+        rows = rows.hint("rebalance", *[F.col(column) for column in partition_by])
+    versions = SharedFolder(spark, path, "version")
+    number = (versions.numbers() or [-1])[-1] + 1
+    versions.publish(rows, number, list(partition_by) or None)
+    place = versions.part(number).replace("'", "\\'")
+    if not partition_by and spark.catalog.tableExists(name) and _defined_as(rows, name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    else:
+        fields = ", ".join(
+            f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema.fields)
+        by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {by} LOCATION '{place}'")
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
+    for old in versions.numbers()[:-2]:
+        versions.drop(old)
+
+
+def _defined_as(rows: DataFrame, name: str) -> bool:
+    found = rows.sparkSession.catalog.listColumns(name)
+    wanted = [(field.name, field.dataType.simpleString()) for field in rows.schema.fields]
+    return [(c.name, c.dataType) for c in found] == wanted and not any(c.isPartition for c in found)

@@ -7,6 +7,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+CONDITION_PROPERTY = "condition.params.json"
 
 
 @dataclass(frozen=True)
@@ -58,3 +61,18 @@ class Condition:
             .first()
         )
         return cls.from_dict(row.asDict())
+
+    @classmethod
+    def from_properties(
+        cls, spark: SparkSession, path: str, name: str = CONDITION_PROPERTY
+    ) -> Condition:
+        """Read a Java properties file whose value ``name`` is the JSON object, see ``from_file``."""
+        text = spark.read.text(path, wholetext=True).first().value
+        properties = spark._jvm.java.util.Properties()
+        properties.load(spark._jvm.java.io.StringReader(text))
+        value = properties.getProperty(name)
+        if value is None:
+            raise ValueError(f"{path} has no {name}")
+        options = {"allowUnquotedFieldNames": "true", "mode": "FAILFAST"}
+        found = F.from_json(F.lit(value), "map<string, string>", options)
+        return cls.from_dict(spark.range(1).select(found.alias("found")).first().found)

@@ -75,3 +75,20 @@ def test_condition_from_values(spark, tmp_path):
                     'targetPageFlow: "3,2,1"}')
     assert Condition.from_file(spark, str(path)) == Condition(
         startDate="2020-01-01", startAge=18, endAge=40, targetPageFlow="3,2,1")
+
+
+def test_condition_of_a_properties_file(spark, tmp_path):
+    path = tmp_path / "conditions.properties"
+    path.write_text("""# a comment
+other.name=1
+condition.params.json={startDate:"2019-03-20", \\
+  startAge: "20", \\
+  endAge: 50, \\
+  keywords:"\u706b\u9505", \\
+  targetPageFlow:"1,2,3"}
+""", encoding="utf-8")
+    assert Condition.from_properties(spark, str(path)) == Condition(
+        startDate="2019-03-20", startAge=20, endAge=50, keywords="\u706b\u9505",
+        targetPageFlow="1,2,3")
+    with pytest.raises(ValueError):
+        Condition.from_properties(spark, str(path), "another.name")

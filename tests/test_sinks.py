@@ -12,6 +12,8 @@ from clicklens.sinks import (
     SummedTable,
     replace_jdbc_table,
     save_table,
+    staged_load,
+    swap_table,
     truncate_and_load,
 )
 from clicklens.sinks.keyed import values_of, with_values
@@ -217,6 +219,49 @@ def test_jdbc_writers_replace_or_truncate():
         writer.jdbc.assert_called_once_with("jdbc:x", "t", properties={"user": "me"})
 
 
+@pytest.mark.parametrize("url, swap", [
+    ("jdbc:mysql://x/d", ["RENAME TABLE d.t TO d.t_old, d.t_staged TO d.t"]),
+    ("jdbc:postgresql://x/d", [
+        "ALTER TABLE d.t RENAME TO t_old", "ALTER TABLE d.t_staged RENAME TO t"]),
+])
+def test_staged_load_swaps_after_all_rows_are_there(url, swap):
+    # No database may be started here, so this checks only what is asked for, and in what order.
+    calls, rows = [], MagicMock()
+    rows.write.mode.return_value.jdbc.side_effect = lambda *given, **_: calls.append(given)
+    staged_load(rows, url, "d.t", {"user": "me"}, calls.append)
+    assert calls == [
+        (url, "d.t_staged"), ["DROP TABLE IF EXISTS d.t_old", *swap, "DROP TABLE d.t_old"]]
+    rows.write.mode.return_value.jdbc.side_effect = OSError("no rows")
+    with pytest.raises(OSError):
+        staged_load(rows, url, "d.t", execute=calls.append)
+    assert len(calls) == 2
+
+
+def test_swapped_table_is_there_at_any_time(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS swapped")
+    path, name = shared_dir(spark, "swapped"), "swapped.t"
+    swap_table(frame(spark, ("a", 1)), name, path)
+    reader = spark.table(name)
+    swap_table(frame(spark, ("b", 2), ("c", 3)), name, path)
+    # A reader that began before finishes on what it saw.
+    assert rows(reader) == [("a", 1)] and rows(spark.table(name)) == [("b", 2), ("c", 3)]
+    broken = frame(spark, ("d", 4)).selectExpr("k", "raise_error('broken') AS n")
+    with pytest.raises(Exception, match="broken"):
+        swap_table(broken.selectExpr("k", "CAST(n AS BIGINT) AS n"), name, path)
+    assert rows(spark.table(name)) == [("b", 2), ("c", 3)]
+    for n in range(3):
+        swap_table(frame(spark, ("e", n)), name, path)
+    assert rows(spark.table(name)) == [("e", 2)]
+    assert len(SharedFolder(spark, path, "version").numbers()) == 2
+    # Other columns and partitions give a new definition.
+    swap_table(frame(spark, ("e", 1), ("f", 2)), name, path, ["k"])
+    assert spark.table(name).columns == ["n", "k"]
+    swap_table(frame(spark, ("g", 3), ("h", 4)), name, path, ["k"])
+    found = spark.table(name).where("k = 'h'")
+    assert rows(found) == [(4, "h")] and rows(spark.table(name)) == [(3, "g"), (4, "h")]
+    assert "PartitionFilters: [isnotnull(k" in found._jdf.queryExecution().toString()
+
+
 def test_run_reports_hands_over_every_report(spark, make_actions):
     tables = {
         "user_visit_action": make_actions([
