@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(sql.ORACLE_SQL) <= set(queries.QUERIES)
 
