@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from clicklens.llm.common import named, one_of_each, share, ship_package, text_of, written
 
 SHINGLE = 5  # words of a k-mer
-SKETCHES = 40
-ORDERED = 5  # k-mers of a sketch, kept in the order of the text
+SKETCHES = 96
+ORDERED = 2  # k-mers of a sketch, kept in the order of the text
 SIMILARITY = 0.8
 HUBS = 8  # of a bucket in the second round; twice as many in each one after
-SHORT = 24  # words of a text that meets others by its words, too
+SHORT = 40  # words of a text that meets all others by its words, too
 TOGETHER = 3  # words that short texts meet by
 COUNTERS = 1 << 16  # of word hashes, which tell rare words from common ones
 BLOCK_WORDS = 200_000
+BLOCK_HASHES = 1 << 15  # of k-mers at a time, few enough for a processor's cache
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -57,19 +58,22 @@ def order_minhash(kmers: np.ndarray, sketches: int = SKETCHES, ordered: int = OR
     if not len(kmers):
         return out
     take = min(ordered, len(kmers))
-    step = max(1, (1 << 20) // len(kmers))
+    step = max(1, BLOCK_HASHES // len(kmers))
+    most = np.uint64(2**64 - 1)
     for at in range(0, sketches, step):
         seeds = np.arange(at + 1, min(sketches, at + step) + 1, dtype=np.uint64) * MIX
-        v = (kmers[None, :] ^ seeds[:, None]) * ODD
+        rows = np.arange(len(seeds))
+        v = kmers[None, :] ^ seeds[:, None]
+        v *= ODD
         v ^= v >> np.uint64(32)
         v *= MIX
-        v ^= v >> np.uint64(29)
-        if take < len(kmers):
-            places = np.argpartition(v, take - 1, axis=1)[:, :take]
-        else:
-            places = np.broadcast_to(np.arange(take), (len(seeds), take))
+        places = np.empty((take, len(seeds)), dtype=np.int64)
+        for i in range(take):
+            places[i] = v.argmin(axis=1)
+            v[rows, places[i]] = most
+        places.sort(axis=0)
         h = np.zeros(len(seeds), dtype=np.uint64)
-        for column in np.sort(places, axis=1).T:
+        for column in places:
             h = (h ^ kmers[column]) * ODD
             h ^= h >> np.uint64(31)
         out[at:at + len(seeds)] = h
@@ -102,9 +106,11 @@ def short_keys(words: list[str], similarity: float = SIMILARITY) -> list[int]:
     texts within the similarity have all but ``most_edits`` of the longer one's words in
     common, so the three first common ones are, in both, among the first ``most_edits`` of
     its own words and three. Below a similarity of 0.75, texts may have one in common only.
+    A text of up to ``SHORT`` words meets all it may be linked to, so texts that are
+    longer by what the similarity allows have keys too.
     """
     together = TOGETHER if similarity >= 0.75 else 1
-    if not together <= len(words) <= SHORT:
+    if not together <= len(words) <= longest(SHORT, similarity):
         return []
     seen: Counter[str] = Counter()
     numbered = []
@@ -116,6 +122,11 @@ def short_keys(words: list[str], similarity: float = SIMILARITY) -> list[int]:
     return pd.util.hash_array(np.array(keys, dtype=object), categorize=False).view(np.int64).tolist()
 
 
+def longest(words: int, similarity: float) -> int:
+    """Words of the longest text that one of so many may be linked to."""
+    return int(words / similarity + 1e-9)
+
+
 def most_edits(a: int, b: int, similarity: float) -> int:
     """Edits that two texts of so many words may differ by."""
     return int((1 - similarity) * max(a, b) + 1e-9)
@@ -174,17 +185,19 @@ def banded_distance(a: list[str], b: list[str], band: int) -> int | None:
 def sketched(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """id, h (md5 of the text), sketch and the short text's keys of every document."""
+    """id, h (md5 of the text), words, sketch and the short text's keys of every document."""
     ship_package(docs.sparkSession)
+    most = longest(SHORT, similarity)
 
-    @F.pandas_udf("sketch array<long>, short array<long>")
+    @F.pandas_udf("words long, sketch array<long>, short array<long>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            of, keys = [], []
+            sizes, of, keys = [], [], []
             for text, words in zip(batch, word_hashes(list(batch))):
+                sizes.append(len(words))
                 of.append(order_minhash(labelled_kmers(words)).view(np.int64))
-                keys.append(short_keys(text.lower().split(), similarity) if len(words) <= SHORT else [])
-            yield pd.DataFrame({"sketch": of, "short": keys})
+                keys.append(short_keys(text.lower().split(), similarity) if len(words) <= most else [])
+            yield pd.DataFrame({"words": sizes, "sketch": of, "short": keys})
 
     return docs.select(
         named(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"),
@@ -193,7 +206,19 @@ def sketched(
 
 def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
     """hub, h, hub_words, words, edits of each pair. ``edits`` is null when over twice what
-    is allowed."""
+    is allowed.
+
+    Texts whose numbers of words alone part them are not aligned: ``edits`` is then what they
+    differ by in length, which no alignment goes below.
+    """
+    sizes = pool.select("h", "words")
+    sized = pairs.join(sizes.select(F.col("h").alias("hub"), F.col("words").alias("hub_words")), "hub")
+    sized = written(sized.join(sizes, "h"), "near-pairs")
+    apart = F.abs(F.col("hub_words") - F.col("words"))
+    parted = sized.where(apart > allowed(similarity)).select(
+        "hub", "h", "hub_words", "words", apart.alias("edits"))
+    pairs, pool = sized.where(apart <= allowed(similarity)).select("hub", "h"), pool.select("h", "text")
+
     @F.pandas_udf("hub_words long, words long, edits long")
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for ones, others in batches:
@@ -207,7 +232,8 @@ def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame
 
     both = pairs.join(pool.select(F.col("h").alias("hub"), F.col("text").alias("hub_text")), "hub")
     both = both.join(pool, "h")
-    return both.select("hub", "h", compare("hub_text", "text").alias("d")).select("hub", "h", "d.*")
+    aligned = both.select("hub", "h", compare("hub_text", "text").alias("d")).select("hub", "h", "d.*")
+    return aligned.unionByName(parted)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -261,9 +287,10 @@ def near_groups(
     that share a common passage only; their bucket is split by rare words (``refined``),
     which parts no pair within the similarity. So of the texts that agree in one sketch
     all links count. Texts of scattered edits may agree in none: an edit changes five
-    k-mers, and a sketch agrees with about the fifth power of the k-mers' Jaccard
-    similarity. Texts of up to ``SHORT`` words meet by their words as well (``short_keys``),
-    and so by the similarity alone.
+    k-mers, and a sketch agrees with about the square of the k-mers' Jaccard similarity.
+    Of pairs with 100 words and scattered edits, 0.9 or more meet at a similarity of 0.8
+    and nearly all above. Texts of up to ``SHORT`` words meet by their words as well
+    (``short_keys``), and so by the similarity alone, whatever the other text's length.
 
     Null texts are empty texts; empty texts are one class. Null ids are members like any
     other; a class of null ids only has a null class_id. Rows that repeat id and text share
@@ -280,17 +307,20 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
     sketches = ids.dropDuplicates(["h"])
     nodes = sketches.select("h", F.posexplode("sketch").alias("band", "key")).unionByName(
         sketches.select("h", F.lit(SKETCHES).alias("band"), F.explode("short").alias("key")))
-    hubs = nodes.groupBy("band", "key").agg(
-        F.min("h").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    active = written(nodes.join(hubs, ["band", "key"]), "near-buckets")
+    # Nearly all buckets have one text: those of several are found by their keys alone.
+    several = nodes.groupBy("band", "key").count().where("count > 1").select("band", "key")
+    met = written(nodes.join(written(several, "near-several"), ["band", "key"]), "near-met")
+    hubs = met.groupBy("band", "key").agg(F.min("h").alias("hub"))
+    active = written(met.join(hubs, ["band", "key"]), "near-buckets")
     members = active.select("h").distinct()
-    spoken_for = ids.join(members, "h").groupBy("h").agg(F.min("id").alias("id"))
+    spoken_for = ids.join(members, "h").groupBy("h").agg(
+        F.min("id").alias("id"), F.max("words").alias("words"))
     texts = docs.select(
         named(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"),
         text_of(text_col).alias("text"))
     one = texts["id"].eqNullSafe(spoken_for["id"]) & (texts["h"] == spoken_for["h"])
     pool = written(
-        texts.join(spoken_for, one, "left_semi").select("h", "text").dropDuplicates(["h"]),
+        texts.join(spoken_for, one).select(texts["h"], "text", "words").dropDuplicates(["h"]),
         "near-pool")
     # Every text is a class of its own until links join them.
     labels, most = members.select("h", F.col("h").alias("label")), HUBS
@@ -311,8 +341,13 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         most *= 2
     rows = ids.select("id", "h").join(labels, "h", "left").select(
         "id", "h", F.coalesce("label", "h").alias("label"))
-    smallest = rows.groupBy("label").agg(F.min("id").alias("class_id"))
-    return rows.join(smallest, "label")
+    # Stored first, and only of several rows, so that a class of very many can be split.
+    smallest = rows.groupBy("label").agg(
+        F.min("id").alias("smallest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    smallest = written(smallest, "near-smallest").withColumn("several", F.lit(True))
+    class_id = F.when(F.col("several"), F.col("smallest")).otherwise(F.col("id"))
+    return rows.join(smallest.hint("merge"), "label", "left").select(
+        "id", "h", "label", class_id.alias("class_id"))
 
 
 def allowed(similarity: float) -> Column:

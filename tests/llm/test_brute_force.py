@@ -213,7 +213,7 @@ def test_all_links_of_texts_that_share_a_passage(spark):
 def test_all_links_of_short_texts(spark):
     draw = random.Random(10)
     known, texts = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(300)], []
-    for n in [*range(1, 25)] * 6:
+    for n in [*range(1, 25)] * 5 + [*range(20, 42)]:
         base = draw.choices(known, k=n)
         texts.append(" ".join(base))
         for _ in range(3):
@@ -223,12 +223,31 @@ def test_all_links_of_short_texts(spark):
                 words[at:at + draw.randint(0, 1)] = draw.choices(known, k=draw.randint(0, 1))
             texts.append(" ".join(words))
     texts += ["a b c d e f g h", "a b c d e f g h i", "k l m n o p q r s", "k l m n o p q r t"]
-    texts = [t for t in texts if len(t.split()) <= near.SHORT]
     expected = linked_classes(texts)
+    assert max(len(t.split()) for t in texts) > near.SHORT
     assert len(set(expected.values())) < 0.6 * len(texts)
     assert {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()} == expected
 
 
+def test_recall_of_scattered_edits(spark):
+    draw, pairs, texts = random.Random(11), {}, []
+    word = lambda: "".join(draw.choices("abcdefgh", k=7))
+    for n in (20, 30, 100, 400):
+        for similarity in (0.95, 0.9, 0.85, 0.8):
+            for _ in range(100 if similarity == 0.8 else 25):
+                base = [word() for _ in range(n)]
+                other = list(base)
+                for i in draw.sample(range(n), near.most_edits(n, n, similarity)):
+                    other[i] = word()
+                pairs.setdefault((n, similarity), []).append(len(texts))
+                texts += [" ".join(base), " ".join(other)]
+    found = {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()}
+    recall = {k: sum(found[i] == found[i + 1] for i in v) / len(v) for k, v in pairs.items()}
+    assert min(recall.values()) >= 0.9, recall
+    assert all(share == 1 for (n, _), share in recall.items() if n <= near.SHORT), recall
+    assert len(set(found.values())) >= len(texts) / 2  # and nothing else is linked
+
+
 def test_repeated_windows():
     draw = random.Random(3)
     for _ in range(150):
