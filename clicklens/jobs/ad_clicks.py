@@ -1,6 +1,6 @@
 """spark-submit ad_clicks.py --servers HOST:PORT --folder SHARED_FOLDER
 
-The three ad-click jobs over a Kafka topic, until one of them ends or fails.
+The three ad-click jobs over a Kafka topic, started again together if one of them fails.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("--topic", default=CLICK_TOPIC)
     options.add_argument("--interval", default=BATCH_INTERVAL)
     options.add_argument("--state-partitions", type=int)
+    options.add_argument("--max-restarts", type=int, default=3, help="in a row without a batch")
     given = options.parse_args(argv)
     spark = build_session("ad clicks")
     jobs = AdJobs(spark, given.folder, state=StateOptions(partitions=given.state_partitions))
-    jobs.start(read_kafka_lines(spark, given.servers, given.topic), given.interval)
-    jobs.wait()
+    lines = read_kafka_lines(spark, given.servers, given.topic)
+    jobs.supervisor(lines, given.interval, given.max_restarts).run()
 
 
 if __name__ == "__main__":

@@ -9,6 +9,7 @@ from clicklens.functions.fixed import BATCH_INTERVAL, BLACKLIST_THRESHOLD
 from clicklens.streaming.counters import AreaTopAds, CityCounts
 from clicklens.streaming.guard import ClickGuard
 from clicklens.streaming.running import StateOptions
+from clicklens.streaming.supervisor import Supervisor
 
 
 class AdJobs:
@@ -39,6 +40,21 @@ class AdJobs:
             self.area_top.start(self.guard.clean_stream(), processingTime=interval),
         ]
 
+    def supervisor(
+        self, lines: DataFrame, interval: str = BATCH_INTERVAL, max_restarts: int = 3,
+        pause: float = 5.0,
+    ) -> Supervisor:
+        """Runs the jobs for good; if a query fails, all are stopped and started again."""
+        names = ("growth", "filter", "city", "area")
+
+        def start() -> dict[str, StreamingQuery]:
+            queries = dict(zip(names, self.start(lines, interval)))
+            if self.city_counts.parting is not None:
+                queries["parting"] = self.city_counts.parting
+            return queries
+
+        return Supervisor(self._spark, start, max_restarts, pause)
+
     def wait(self, timeout: float | None = None) -> None:
         """Until a query ends or fails, or for ``timeout`` seconds."""
         self._spark.streams.awaitAnyTermination(timeout)
