@@ -17,7 +17,8 @@ SHINGLE = 5  # words of a k-mer
 SKETCHES = 96
 ORDERED = 2  # k-mers of a sketch, kept in the order of the text
 SIMILARITY = 0.8
-HUBS = 8  # of a bucket in the second round; twice as many in each one after
+HUBS = 8  # of a bucket in the second round
+GROWTH = 8  # as many times more in each round after, and of a class: a round is many shuffles
 SHORT = 40  # words of a text that meets all others by its words, too
 TOGETHER = 3  # words that short texts meet by
 COUNTERS = 1 << 16  # of word hashes, which tell rare words from common ones
@@ -323,7 +324,7 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         texts.join(spoken_for, one).select(texts["h"], "text", "words").dropDuplicates(["h"]),
         "near-pool")
     # Every text is a class of its own until links join them.
-    labels, most = members.select("h", F.col("h").alias("label")), HUBS
+    labels, most, each = members.select("h", F.col("h").alias("label")), HUBS, 1
     active = active.withColumn("apart", F.col("h") != F.col("hub"))
     while True:
         pairs = active.where("apart").select("hub", "h").distinct()
@@ -335,10 +336,10 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         left = of_several_classes(left, labels)
         if most == HUBS:
             left = of_several_classes(refined(left, pool, similarity), labels)
-        active = written(with_hubs(left, most), "near-buckets")
+        active = written(with_hubs(left, most, each), "near-buckets")
         if active.isEmpty():
             break
-        most *= 2
+        most, each = most * GROWTH, each * GROWTH
     rows = ids.select("id", "h").join(labels, "h", "left").select(
         "id", "h", F.coalesce("label", "h").alias("label"))
     # Stored first, and only of several rows, so that a class of very many can be split.
@@ -459,13 +460,23 @@ def refined(left: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
         "band", F.xxhash64("key", "word").alias("key"), "h")
 
 
-def with_hubs(left: DataFrame, most: int) -> DataFrame:
-    """Every text with each of its bucket's next hubs, ``most`` at most."""
+def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
+    """Every text with each of its bucket's next hubs, ``most`` at most.
+
+    Up to ``each`` texts of a class are hubs, one of every class before a second of any, and
+    the smaller classes' first. The largest class has one: a bucket is done when all texts of
+    its other classes have been hubs.
+    """
     bucket = ["band", "key"]
-    sizes = left.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("hub"))
-    small_first = Window.partitionBy(*bucket).orderBy("n", "hub")
-    hubs = sizes.withColumn("rank", F.row_number().over(small_first)).where(F.col("rank") <= most)
-    hubs = hubs.select(*bucket, "hub", F.col("label").alias("hub_label"))
+    sizes = left.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy(*bucket).agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
+    in_class = Window.partitionBy(*bucket, "label").orderBy("h")
+    first = left.withColumn("turn", F.row_number().over(in_class)).where(F.col("turn") <= each)
+    first = first.join(sizes, [*bucket, "label"]).join(largest, bucket).where(
+        "turn = 1 OR label <> largest")
+    in_turn = Window.partitionBy(*bucket).orderBy("turn", "n", "h")
+    hubs = first.withColumn("rank", F.row_number().over(in_turn)).where(F.col("rank") <= most)
+    hubs = hubs.select(*bucket, F.col("h").alias("hub"), F.col("label").alias("hub_label"))
     return left.join(hubs, bucket).select(
         *bucket, "h", "hub", (F.col("label") != F.col("hub_label")).alias("apart"))
 
