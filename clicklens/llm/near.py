@@ -312,7 +312,10 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
     several = nodes.groupBy("band", "key").count().where("count > 1").select("band", "key")
     met = written(nodes.join(written(several, "near-several"), ["band", "key"]), "near-met")
     hubs = met.groupBy("band", "key").agg(F.min("h").alias("hub"))
-    active = written(met.join(hubs, ["band", "key"]), "near-buckets")
+    # Texts that share a passage meet in many buckets, and these in few hubs: the buckets of
+    # one hub become one, which adds pairs and loses none.
+    active = written(met.join(hubs, ["band", "key"]).select(
+        F.lit(0).alias("band"), F.xxhash64("hub").alias("key"), "h", "hub").distinct(), "near-buckets")
     members = active.select("h").distinct()
     spoken_for = ids.join(members, "h").groupBy("h").agg(
         F.min("id").alias("id"), F.max("words").alias("words"))
