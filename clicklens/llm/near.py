@@ -335,10 +335,9 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         links = found.where(linked(similarity))
         if not links.isEmpty():
             labels = joined_classes(labels, links)
-        left = unresolved(active, found, similarity)
-        left = of_several_classes(left, labels)
+        left = of_several_classes(unresolved(active, found, similarity).join(labels, "h"))
         if most == HUBS:
-            left = of_several_classes(refined(left, pool, similarity), labels)
+            left = of_several_classes(refined(left, pool, similarity))
         active = written(with_hubs(left, most, each), "near-buckets")
         if active.isEmpty():
             break
@@ -400,13 +399,18 @@ def unresolved(active: DataFrame, found: DataFrame, similarity: float) -> DataFr
     return active.select(*bucket, "h").distinct().join(leave, [*bucket, "h"], "left_anti")
 
 
-def of_several_classes(left: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, key, h and label of the buckets of more than one class."""
+def of_several_classes(left: DataFrame) -> DataFrame:
+    """band, key, h and label of the buckets of more than one class.
+
+    Of buckets that hold the same texts one is enough; they are told by 128 bits.
+    """
     bucket = ["band", "key"]
-    left = written(left.join(labels, "h").select(*bucket, "h", "label"), "near-left")
-    several = left.groupBy(*bucket).agg(
-        F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select(*bucket)
-    return left.join(written(several, "near-several"), bucket)
+    left = written(left.select(*bucket, "h", "label"), "near-left")
+    held = left.groupBy(*bucket).agg(
+        F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "h")).alias("y"))
+    several = held.where("a <> b").groupBy("n", "x", "y").agg(F.min(F.struct(*bucket)).alias("one"))
+    return left.join(written(several.select("one.*"), "near-several"), bucket)
 
 
 def numbered_words(words: np.ndarray) -> np.ndarray:
@@ -460,7 +464,7 @@ def refined(left: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
 
     words = texts.select("h", F.explode(rare("text")).alias("word"))
     return left.join(written(words, "near-words"), "h").select(
-        "band", F.xxhash64("key", "word").alias("key"), "h")
+        "band", F.xxhash64("key", "word").alias("key"), "h", "label")
 
 
 def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
