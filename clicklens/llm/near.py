@@ -21,6 +21,7 @@ HUBS = 8  # of a bucket in the second round
 GROWTH = 8  # as many times more in each round after, and of a class: a round is many shuffles
 SHORT = 40  # words of a text that meets all others by its words, too
 TOGETHER = 3  # words that short texts meet by
+COUNTED = 256  # classes that a text's words are counted by, at most 255 of each
 COUNTERS = 1 << 16  # of word hashes, which tell rare words from common ones
 BLOCK_WORDS = 200_000
 BLOCK_HASHES = 1 << 15  # of k-mers at a time, few enough for a processor's cache
@@ -123,6 +124,24 @@ def short_keys(words: list[str], similarity: float = SIMILARITY) -> list[int]:
     return pd.util.hash_array(np.array(keys, dtype=object), categorize=False).view(np.int64).tolist()
 
 
+def counted(words: np.ndarray) -> bytes:
+    """How many of a text's word hashes fall into each of ``COUNTED`` classes, a byte each."""
+    counts = np.bincount((words % np.uint64(COUNTED)).astype(np.int64), minlength=COUNTED)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def least_edits(ones: list[bytes], others: list[bytes]) -> np.ndarray:
+    """Edits that texts of these counts differ by at least.
+
+    An edit takes one word from a class and gives one to another at most, so the words that
+    either text has over the other need an edit each.
+    """
+    a, b = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, COUNTED).astype(np.int16)
+            for x in (ones, others))
+    over = a - b
+    return np.maximum(np.maximum(over, 0).sum(axis=1), np.maximum(-over, 0).sum(axis=1)).astype(np.int64)
+
+
 def longest(words: int, similarity: float) -> int:
     """Words of the longest text that one of so many may be linked to."""
     return int(words / similarity + 1e-9)
@@ -186,19 +205,20 @@ def banded_distance(a: list[str], b: list[str], band: int) -> int | None:
 def sketched(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """id, h (md5 of the text), words, sketch and the short text's keys of every document."""
+    """id, h (md5 of the text), words, counts, sketch and the short text's keys of every document."""
     ship_package(docs.sparkSession)
     most = longest(SHORT, similarity)
 
-    @F.pandas_udf("words long, sketch array<long>, short array<long>")
+    @F.pandas_udf("words long, counts binary, sketch array<long>, short array<long>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            sizes, of, keys = [], [], []
+            sizes, counts, of, keys = [], [], [], []
             for text, words in zip(batch, word_hashes(list(batch))):
                 sizes.append(len(words))
+                counts.append(counted(words))
                 of.append(order_minhash(labelled_kmers(words)).view(np.int64))
                 keys.append(short_keys(text.lower().split(), similarity) if len(words) <= most else [])
-            yield pd.DataFrame({"words": sizes, "sketch": of, "short": keys})
+            yield pd.DataFrame({"words": sizes, "counts": counts, "sketch": of, "short": keys})
 
     return docs.select(
         named(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"),
@@ -209,16 +229,23 @@ def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame
     """hub, h, hub_words, words, edits of each pair. ``edits`` is null when over twice what
     is allowed.
 
-    Texts whose numbers of words alone part them are not aligned: ``edits`` is then what they
-    differ by in length, which no alignment goes below.
+    Texts that their numbers or counts of words part are not aligned, and not moved: ``edits`` is then
+    what these differ by, which no alignment goes below.
     """
-    sizes = pool.select("h", "words")
-    sized = pairs.join(sizes.select(F.col("h").alias("hub"), F.col("words").alias("hub_words")), "hub")
-    sized = written(sized.join(sizes, "h"), "near-pairs")
+    @F.pandas_udf("long")
+    def differ(ones: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series(least_edits(list(ones), list(others)))
+
+    sizes = pool.select("h", "words", "counts")
+    sized = pairs.join(sizes.select(
+        F.col("h").alias("hub"), F.col("words").alias("hub_words"), F.col("counts").alias("hub_counts")), "hub")
     apart = F.abs(F.col("hub_words") - F.col("words"))
-    parted = sized.where(apart > allowed(similarity)).select(
-        "hub", "h", "hub_words", "words", apart.alias("edits"))
-    pairs, pool = sized.where(apart <= allowed(similarity)).select("hub", "h"), pool.select("h", "text")
+    sized = written(sized.join(sizes, "h").select(
+        "hub", "h", "hub_words", "words",
+        F.greatest(apart, differ("hub_counts", "counts")).alias("edits")), "near-pairs")
+    parted = sized.where(F.col("edits") > allowed(similarity))
+    pairs = sized.where(F.col("edits") <= allowed(similarity)).select("hub", "h")
+    pool = pool.select("h", "text")
 
     @F.pandas_udf("hub_words long, words long, edits long")
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -318,13 +345,13 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
         F.lit(0).alias("band"), F.xxhash64("hub").alias("key"), "h", "hub").distinct(), "near-buckets")
     members = active.select("h").distinct()
     spoken_for = ids.join(members, "h").groupBy("h").agg(
-        F.min("id").alias("id"), F.max("words").alias("words"))
+        F.min("id").alias("id"), F.max("words").alias("words"), F.max("counts").alias("counts"))
     texts = docs.select(
         named(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"),
         text_of(text_col).alias("text"))
     one = texts["id"].eqNullSafe(spoken_for["id"]) & (texts["h"] == spoken_for["h"])
     pool = written(
-        texts.join(spoken_for, one).select(texts["h"], "text", "words").dropDuplicates(["h"]),
+        texts.join(spoken_for, one).select(texts["h"], "text", "words", "counts").dropDuplicates(["h"]),
         "near-pool")
     # Every text is a class of its own until links join them.
     labels, most, each = members.select("h", F.col("h").alias("label")), HUBS, 1
