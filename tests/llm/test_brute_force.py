@@ -337,3 +337,13 @@ def test_words_of_all_documents_are_counted(spark):
     for i, x in enumerate(held):
         assert shares[2500 + i, 0] == secrets.covered(x, set(known)) > 0.5
         assert shares[2500 + i, len(x) + 1] == 0
+
+
+def test_counts_of_words_never_part_texts_within_the_allowed_edits():
+    rng = random.Random(3)
+    for _ in range(300):
+        a = [f"w{rng.randrange(40)}" for _ in range(rng.randrange(0, 60))]
+        b = a[:rng.randrange(0, 60)] + [f"w{rng.randrange(40)}" for _ in range(rng.randrange(0, 9))]
+        one, other = near.word_hashes([" ".join(a), " ".join(b)])
+        least = near.least_edits([near.counted(one)], [near.counted(other)])[0]
+        assert least <= near.banded_distance(a, b, len(a) + len(b))
