@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +33,6 @@ FOUND = T.StructType(
     [T.StructField("kind", T.StringType()), *AD_CLICK.fields,
      T.StructField("clicks", T.LongType()), T.StructField("value", T.StringType())]
 )
-_DTYPES = {
-    field.name: "Int64" if field.dataType == T.LongType() else object for field in FOUND.fields
-}
 DAY_MILLIS = 24 * 60 * 60 * 1000
 
 
@@ -59,31 +57,45 @@ class UserJudge(StatefulProcessor):
             for _ in rows:
                 pass
             return
-        user, found, newest = key[0], Counter(), None
+        user, found, newest = key[0], Counter(), 0
+        # Most users have a handful of rows, and what costs is the number of frames: the last
+        # clicks, the counts and the listing go on in one.
+        out: list[tuple] = []
         for clicks in rows:
-            found.update(zip(clicks["day"], clicks["ads_id"]))
-            newest = max(filter(None, [newest, int(clicks["ts"].max())]), default=0)
-            yield self._rows(CLICK, clicks)
-        changed = []
+            if out:
+                yield self._frame(out)
+            columns = [clicks[name].tolist() for name in AD_CLICK.names]
+            by_name = dict(zip(AD_CLICK.names, columns))
+            found.update(zip(by_name["day"], by_name["ads_id"]))
+            newest = max(newest, *by_name["ts"])
+            out = [(CLICK, *click, None, None) for click in zip(*columns)]
+        # A user without counts is asked for none of them: every question is a message.
+        known = self._counts.exists()
         for ad, clicks in found.items():
-            before = self._counts.getValue(ad)
-            changed.append((user, *ad, clicks + (before[0] if before else 0)))
-        yield self._rows(COUNT, pd.DataFrame(changed, columns=USER_CLICKS.names))
-        if max(row[-1] for row in changed) >= self._threshold:
+            before = self._counts.getValue(ad) if known else None
+            found[ad] = clicks + (before[0] if before else 0)
+            out.append(_row(COUNT, user_id=user, day=ad[0], ads_id=ad[1], clicks=found[ad]))
+        if max(found.values()) >= self._threshold:
             self._listed.update((newest,))
-            self._counts.clear()
-            yield self._rows(LISTED, pd.DataFrame({"user_id": [user]}))
+            if known:
+                self._counts.clear()
+            out.append(_row(LISTED, user_id=user))
         else:
-            for _, day, ads_id, clicks in changed:
-                self._counts.updateValue((day, ads_id), (clicks,))
+            for ad, clicks in found.items():
+                self._counts.updateValue(ad, (clicks,))
+        yield self._frame(out)
 
     def close(self) -> None:
         pass
 
     @staticmethod
-    def _rows(kind: str, rows: pd.DataFrame) -> pd.DataFrame:
-        whole = rows.reindex(columns=FOUND.names).assign(kind=kind)
-        return whole.astype(_DTYPES)
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        # As objects, so that whole numbers beside nulls stay whole numbers.
+        return pd.DataFrame(np.array(rows, dtype=object), columns=FOUND.names)
+
+
+def _row(kind: str, **values) -> tuple:
+    return (kind, *map(values.get, FOUND.names[1:]))
 
 
 class StatefulGuard:
