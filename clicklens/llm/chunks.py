@@ -133,6 +133,9 @@ class ChunkEncoder:
             {i: token for token, i in self._tokenizer.get_vocab(with_added_tokens=True).items()}
             if self._tokenizer.decoder is None else None
         )
+        size = 1 + max(self._tokenizer.get_vocab(with_added_tokens=True).values(), default=-1)
+        self._numbers = list(map(str, range(size)))
+        self._spelled = [self._tokens.get(i) for i in range(size)] if self._tokens is not None else []
         mark = self._encode_one(MARK.decode())
         self._mark = mark[0] if len(mark) == 1 else None
         self._words = Memo(words, len)
@@ -156,6 +159,15 @@ class ChunkEncoder:
             return self._tokenizer.decode(ids, skip_special_tokens=False)
         return " ".join([self._tokens[i] for i in ids if i in self._tokens])
 
+    def digests(self, text: bytes) -> tuple[int, str, str]:
+        """Number of the text's ids, and SHA-256 of the ids and of their text."""
+        ids = self.encode(text).tolist()
+        numbers = " ".join(map(self._numbers.__getitem__, ids))
+        # Ids that encoding gives are all of the vocabulary.
+        decoded = self.decode(ids) if self._tokens is None else " ".join(
+            map(self._spelled.__getitem__, ids))
+        return len(ids), _sha256(numbers), _sha256(decoded)
+
     def _chunk(self, chunk: bytes) -> tuple[bytes, bytes | None, bytes]:
         """What stands before its first gap, the ids from there to its last gap, what is after.
 
@@ -264,12 +276,8 @@ def chunk_encoded(
     def digest_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = encoder(vocabulary)
         for texts in batches:
-            found = []
-            for text in texts:
-                ids = own.encode(text.encode()).tolist()
-                found.append((
-                    len(ids), _sha256(" ".join(map(str, ids))), _sha256(own.decode(ids))))
-            yield pd.DataFrame(found, columns=list(DIGEST))
+            yield pd.DataFrame(
+                [own.digests(text.encode()) for text in texts], columns=list(DIGEST))
 
     return rows.select("row", digest_of(text).alias("found")).select("row", "found.*")
 
