@@ -13,6 +13,7 @@ LITERAL = "\ud800"  # stands for that character itself, which no piece may match
 BASE = 0x9E3779B97F4A7C15
 NONE = -1
 CELLS = 1 << 19  # characters of words worked on together
+MARK_BITS = 18  # leading bits of a hash that tell most strings that are no piece
 # In a marked text: runs of spaces with what follows them, line feeds, other runs of spaces.
 SEGMENT = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
@@ -25,6 +26,7 @@ class Pieces:
     scores: np.ndarray
     byte_ids: np.ndarray
     by_length: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    marks: dict[int, np.ndarray] = field(default_factory=dict)  # of the hashes' leading bits
 
     def __post_init__(self) -> None:
         """Index the pieces by length and hash.
@@ -45,6 +47,8 @@ class Pieces:
             if len(np.unique(hashes)) < len(hashes):
                 raise ValueError("two pieces of the vocabulary share a hash")
             self.by_length[n] = hashes[order], np.array(ids, dtype=np.int32)[order]
+            self.marks[n] = np.zeros(1 << MARK_BITS, dtype=bool)
+            self.marks[n][hashes >> np.uint64(64 - MARK_BITS)] = True
 
     @property
     def longest(self) -> int:
@@ -70,7 +74,8 @@ def load_pieces(path: str) -> Pieces:
 
 
 def prefix_hashes(codes: np.ndarray) -> np.ndarray:
-    h = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64)
+    # Columns are what is worked on, so a column's values lie side by side.
+    h = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64, order="F")
     for i in range(codes.shape[1]):
         h[:, i + 1] = h[:, i] * np.uint64(BASE) + codes[:, i] + np.uint64(1)
     return h
@@ -113,11 +118,12 @@ class Arcs:
     codes: np.ndarray
     ids: list[list[np.ndarray]]
     spelled: list[np.ndarray]
+    none: np.ndarray  # stands in ``ids`` where no segment has a piece
 
 
 def arcs_of(codes: np.ndarray, pieces: Pieces) -> Arcs:
     n, length = codes.shape
-    h = prefix_hashes(codes.astype(np.uint64))
+    h = prefix_hashes(codes.astype(np.uint64, order="F"))
     powers = [np.uint64(pow(BASE, k, 1 << 64)) for k in range(pieces.longest + 1)]
     ids: list[list[np.ndarray]] = [[]]
     spelled = [np.zeros(0, dtype=bool)]
@@ -130,11 +136,19 @@ def arcs_of(codes: np.ndarray, pieces: Pieces) -> Arcs:
                 continue
             known, which = pieces.by_length[k]
             want = h[:, j] - h[:, j - k] * powers[k]
+            on = np.flatnonzero(pieces.marks[k][want >> np.uint64(64 - MARK_BITS)])
+            want = want[on]
             at = np.minimum(np.searchsorted(known, want), len(known) - 1)
-            row.append(np.where(known[at] == want, which[at], np.int32(NONE)))
+            same = known[at] == want
+            if not same.any():
+                row.append(none)
+                continue
+            found = none.copy()
+            found[on[same]] = which[at[same]]
+            row.append(found)
         ids.append(row)
         spelled.append(row[0] == NONE)
-    return Arcs(codes, ids, spelled)
+    return Arcs(codes, ids, spelled, none)
 
 
 def spelled_scores(arcs: Arcs, j: int, pieces: Pieces, scores: np.ndarray) -> np.ndarray:

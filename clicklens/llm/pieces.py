@@ -55,22 +55,29 @@ def two_best(segments: list[str], pieces: Pieces, scores: np.ndarray) -> list[En
     for part, codes in by_length(segments):
         arcs = arcs_of(codes, pieces)
         n, length = codes.shape
-        first, second = np.full((2, n, length + 1), -np.inf)
-        first[:, 0] = 0.0
-        back = np.zeros((n, length + 1), dtype=np.int32)
-        last = np.full((n, length + 1), NONE, dtype=np.int32)
+        # Position by position, each with the values of all segments side by side.
+        first, second = np.full((2, length + 1, n), -np.inf)
+        first[0] = 0.0
+        back = np.zeros((n, length + 1), dtype=np.int32, order="F")
+        last = np.full((n, length + 1), NONE, dtype=np.int32, order="F")
         for j in range(1, length + 1):
             for k in range(1, len(arcs.ids[j]) + 1):
-                s = arc_scores(arcs, j, k, pieces, padded)
-                one, two = first[:, j - k] + s, second[:, j - k] + s
+                ids = arcs.ids[j][k - 1]
+                if k > 1 and ids is arcs.none:
+                    continue
+                # Longer pieces are on few segments; the others stay as they are.
+                on = slice(None) if k == 1 else np.flatnonzero(ids != NONE)
+                s = arc_scores(arcs, j, k, pieces, padded)[on] if k == 1 else scores[ids[on]]
+                one, two = first[j - k][on] + s, second[j - k][on] + s
+                best, next_ = first[j][on], second[j][on]
                 # Among equals the longer last piece wins: it comes later here.
-                better = (one >= first[:, j]) & (one > -np.inf)
-                second[:, j] = np.maximum(
-                    np.maximum(second[:, j], two), np.minimum(first[:, j], one))
-                first[:, j] = np.maximum(first[:, j], one)
-                back[better, j] = k
-                last[better, j] = arcs.ids[j][k - 1][better]
-        gaps = first[:, length] - second[:, length]
+                better = (one >= best) & (one > -np.inf)
+                second[j][on] = np.maximum(np.maximum(next_, two), np.minimum(best, one))
+                first[j][on] = np.maximum(best, one)
+                won = np.flatnonzero(better) if k == 1 else on[better]
+                back[won, j] = k
+                last[won, j] = ids[won]
+        gaps = first[length] - second[length]
         at, rows = np.full(n, length), np.arange(n)
         steps = []
         while (at > 0).any():
@@ -81,7 +88,7 @@ def two_best(segments: list[str], pieces: Pieces, scores: np.ndarray) -> list[En
         used = ids != PAST
         flat = ids[used].tobytes()
         cuts = np.concatenate([[0], 4 * np.cumsum(used.sum(axis=1))]).tolist()
-        scores_of, gaps_of = first[:, length].tolist(), gaps.tolist()
+        scores_of, gaps_of = first[length].tolist(), gaps.tolist()
         spelled = (ids == NONE).any(axis=1).tolist()
         for row, i in enumerate(part.tolist()):
             found = flat[cuts[row]:cuts[row + 1]]
