@@ -22,7 +22,8 @@ GROWTH = 8  # as many times more in each round after, and of a class: a round is
 SHORT = 40  # words of a text that meets all others by its words, too
 TOGETHER = 3  # words that short texts meet by
 COUNTED = 256  # classes that a text's words are counted by, at most 255 of each
-COUNTERS = 1 << 16  # of word hashes, which tell rare words from common ones
+WIDE = 64  # texts of a bucket that may be merged with others and split by words
+COUNTERS = 1 << 18  # of hashes, which tell rare runs of words from common ones
 BLOCK_WORDS = 200_000
 BLOCK_HASHES = 1 << 15  # of k-mers at a time, few enough for a processor's cache
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -312,8 +313,8 @@ def near_groups(
     rest get other hubs, until all that are left in a bucket are of one class. So a group
     of thousands costs an alignment or a few each, and a large bucket is a join that Spark
     can split, never one task's list. What the first hub does not settle is mostly texts
-    that share a common passage only; their bucket is split by rare words (``refined``),
-    which parts no pair within the similarity. So of the texts that agree in one sketch
+    that share a common passage only; their bucket is split by rare runs of words
+    (``refined``), which parts no pair within the similarity. So of the texts that agree in one sketch
     all links count. Texts of scattered edits may agree in none: an edit changes five
     k-mers, and a sketch agrees with about the square of the k-mers' Jaccard similarity.
     Of pairs with 100 words and scattered edits, 0.9 or more meet at a similarity of 0.8
@@ -405,9 +406,9 @@ def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
 def unresolved(active: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """What stays in the buckets (band, key, h) after a round.
 
-    A hub has met all of its bucket that is not of its class, and leaves. A text linked to
-    it stays only if its distance to the hub does not show that every unlinked one is too
-    far from it.
+    A hub has met all of its bucket that is not of its class, as the hub or as the text of
+    another, and leaves. A text linked to it stays only if its distance to the hub does not
+    show that every unlinked one, but for those that leave as hubs, is too far from it.
     """
     bucket, share = ["band", "key"], 1 - similarity
     met = active.where("h <> hub").join(found, ["hub", "h"], "left")
@@ -449,53 +450,105 @@ def numbered_words(words: np.ndarray) -> np.ndarray:
     return ranked + (np.arange(len(words)) - first).astype(np.uint64) * MIX
 
 
-def refined(left: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
-    """The buckets split by word: texts meet that have one of their rarest words in common.
+def rarest(words: np.ndarray, times: np.ndarray, together: int, similarity: float) -> np.ndarray:
+    """Hashes of a text's rarest runs of ``together`` words, each with its number of occurrence.
 
-    Two texts within the similarity have all but ``most_edits`` of the longer one's words in
-    common. So in any order that is the same for all texts, the first word they have in
-    common is among the first ``most_edits`` and one of each; no linked pair is parted.
-    Words are numbered by occurrence, and ordered by how many there are, counted by hash.
+    Of a text's runs, an edit inside breaks ``together`` and a word put in one less. So two
+    texts within the similarity lack at most that share of each one's runs, floored, and the
+    first run they have in common, in any order that is the same for all texts, is among so
+    many and one of each. Runs are ordered by how many there are, ``times`` by hash.
     """
-    texts = written(pool.join(left.select("h").distinct(), "h", "left_semi"), "near-open")
+    runs = numbered_words(runs_of(words, together))
+    order = np.lexsort((runs, times[(runs % np.uint64(len(times))).astype(np.int64)]))
+    return runs[order[:int(together * (1 - similarity) * len(words) + 1e-9) + 1]]
+
+
+def runs_of(words: np.ndarray, together: int) -> np.ndarray:
+    """Hashes of the runs of so many words; a shorter text is one run."""
+    n = max(1, len(words) - together + 1)
+    h = np.zeros(n, dtype=np.uint64)
+    for i in range(min(together, len(words))):
+        h = h * ODD + words[i:i + n] * MIX
+    return h
+
+
+def split_by_runs(left: DataFrame, pool: DataFrame, together: int, similarity: float) -> DataFrame:
+    """The buckets split: texts meet that have one of their rarest runs of words in common."""
+    texts = written(pool.join(left.select("h").distinct(), "h", "left_semi").select("h", "text"), "near-open")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
             for words in word_hashes(list(batch["text"])):
                 if len(words):
-                    at = numbered_words(words) % np.uint64(COUNTERS)
-                    total += np.bincount(at.astype(np.int64), minlength=COUNTERS)
+                    at = numbered_words(runs_of(words, together)) % np.uint64(COUNTERS)
+                    np.add.at(total, at.astype(np.int64), 1)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"at": at, "n": total[at]})
 
     counts = texts.select("text").mapInPandas(count, "at long, n long").groupBy("at").agg(
-        F.sum("n").alias("n"))
+        F.sum("n").alias("n")).toArrow()
     times = np.zeros(COUNTERS, dtype=np.int64)
-    for row in counts.collect():
-        times[row["at"]] = row["n"]
+    times[counts["at"].to_numpy()] = counts["n"].to_numpy()
     shared = share(pool, times)
 
     @F.pandas_udf("array<long>")
     def rare(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         times = shared.value
         for batch in batches:
-            out = []
-            for words in word_hashes(list(batch)):
-                if len(words):
-                    words = numbered_words(words)
-                    order = np.lexsort((words, times[(words % np.uint64(COUNTERS)).astype(np.int64)]))
-                    words = words[order[:most_edits(len(words), len(words), similarity) + 1]]
-                out.append(words.view(np.int64))
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([
+                (rarest(words, times, together, similarity) if len(words) else words).view(np.int64)
+                for words in word_hashes(list(batch))], dtype=object)
 
-    words = texts.select("h", F.explode(rare("text")).alias("word"))
-    return left.join(written(words, "near-words"), "h").select(
-        "band", F.xxhash64("key", "word").alias("key"), "h", "label")
+    runs = written(texts.select("h", F.explode(rare("text")).alias("run")), "near-runs")
+    # Nearly all runs are of one text, and meet nobody in any bucket.
+    several = runs.groupBy("run").count().where("count > 1").select("run")
+    runs = written(runs.join(several, "run"), "near-runs")
+    return left.join(runs, "h").select("band", F.xxhash64("key", "run").alias("key"), "h", "label")
+
+
+def refined(left: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
+    """The buckets split by runs of two words, and the wide ones by words if that saves pairs.
+
+    Words that few texts have are still shared by chance, ever more often in larger tables;
+    runs of two hardly are. But texts are not told apart by runs once a passage takes more
+    than about three fifths of them, so all of these meet, in a bucket for each run of the
+    passage. Such wide buckets become one where their first text is the same, which
+    loses no pair, and that is split by single words, unless the texts share
+    so many that it would make more pairs than the bucket has. No linked pair is parted.
+    """
+    bucket = ["band", "key"]
+    if similarity < 0.75:  # a text's edits could break all of its runs of two
+        return split_by_runs(left, pool, 1, similarity)
+    left = written(of_several_classes(split_by_runs(left, pool, 2, similarity)), "near-split")
+    large = left.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("first"))
+    large = written(large.where(F.col("n") > WIDE).select(*bucket, "first"), "near-large")
+    narrow = left.join(large, bucket, "left_anti").withColumn("band", F.col("band").cast("long"))
+    whole = F.xxhash64("first")
+    wide = written(left.join(large, bucket).select(
+        whole.alias("band"), whole.alias("key"), "h", "label").distinct(), "near-wide")
+    if wide.isEmpty():
+        return narrow
+    parts = written(of_several_classes(split_by_runs(wide, pool, 1, similarity)), "near-parts")
+    costs = pairs_of(wide).join(pairs_of(parts).withColumnRenamed("pairs", "split"), "band", "left")
+    kept = written(costs.where(F.col("pairs") <= F.coalesce("split", F.lit(0))).select("band"), "near-kept")
+    return (
+        narrow.unionByName(wide.join(kept, "band", "left_semi").select(narrow.columns))
+        .unionByName(parts.join(kept, "band", "left_anti").select(narrow.columns))
+    )
+
+
+def pairs_of(left: DataFrame) -> DataFrame:
+    """band, pairs: how many rows the texts and their hubs can come to in all its buckets."""
+    classes = left.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = classes.groupBy("band", "key").agg(F.sum("n").alias("n"), F.max("n").alias("largest"))
+    return sizes.groupBy("band").agg(F.sum(F.col("n") * (F.col("n") - F.col("largest") + 1)).alias("pairs"))
 
 
 def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
-    """Every text with each of its bucket's next hubs, ``most`` at most.
+    """Every text with each of its bucket's next hubs of other classes, ``most`` at most.
+
+    A hub is there with itself, too.
 
     Up to ``each`` texts of a class are hubs, one of every class before a second of any, and
     the smaller classes' first. The largest class has one: a bucket is done when all texts of
@@ -510,9 +563,16 @@ def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
         "turn = 1 OR label <> largest")
     in_turn = Window.partitionBy(*bucket).orderBy("turn", "n", "h")
     hubs = first.withColumn("rank", F.row_number().over(in_turn)).where(F.col("rank") <= most)
-    hubs = hubs.select(*bucket, F.col("h").alias("hub"), F.col("label").alias("hub_label"))
-    return left.join(hubs, bucket).select(
-        *bucket, "h", "hub", (F.col("label") != F.col("hub_label")).alias("apart"))
+    hubs = written(hubs.select(*bucket, F.col("h").alias("hub"), F.col("label").alias("hub_label")), "near-hubs")
+    marks = hubs.select(*bucket, F.col("hub").alias("h"), F.lit(True).alias("is_hub"))
+    marked = left.join(marks, [*bucket, "h"], "left")
+    # Two hubs are one pair, and texts of one class none. There are hubs of two classes at
+    # least, so every text has one that is not of its own, or is one.
+    meets = (F.col("h") == F.col("hub")) | (F.col("label") != F.col("hub_label")) & (
+        F.col("is_hub").isNull() | (F.col("hub") < F.col("h")))
+    same = (marked["band"] == hubs["band"]) & (marked["key"] == hubs["key"])
+    return marked.join(hubs, same & meets).select(
+        marked["band"], marked["key"], "h", "hub", (F.col("h") != F.col("hub")).alias("apart"))
 
 
 def drop_near(

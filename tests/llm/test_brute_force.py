@@ -210,6 +210,58 @@ def test_all_links_of_texts_that_share_a_passage(spark):
     assert {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()} == expected
 
 
+def test_split_buckets_part_no_linked_texts_and_keep_few_others_together(spark):
+    # A common line, and words that all texts have by chance; every tenth text has an edited copy.
+    draw = random.Random(12)
+    known = ["".join(draw.choices("abcdefgh", k=7)) for _ in range(2000)]
+    line, texts = draw.choices(known, k=12), []
+    for i in range(300):
+        words = line + draw.choices(known, k=draw.randint(40, 130))
+        texts.append(" ".join(words))
+        if i % 10 == 0:
+            for at in draw.sample(range(len(words)), near.most_edits(len(words), len(words), near.SIMILARITY)):
+                words[at] = draw.choice(known)
+            texts.append(" ".join(words))
+    pool = spark.createDataFrame([(str(i).encode(), t) for i, t in enumerate(texts)], "h binary, text string")
+    left = pool.select(F.lit(0).alias("band"), F.lit(7).cast("long").alias("key"), "h", F.col("h").alias("label"))
+    buckets = {}
+    for r in near.refined(left, pool, near.SIMILARITY).collect():
+        buckets.setdefault((r.band, r.key), set()).add(int(r.h))
+    met = {pair for b in buckets.values() for pair in combinations(sorted(b), 2)}
+    words = [t.split() for t in texts]
+    linked = {(i, j) for i, j in combinations(range(len(texts)), 2) if near.banded_distance(
+        words[i], words[j], near.most_edits(len(words[i]), len(words[j]), near.SIMILARITY)) is not None}
+    assert len(linked) >= 30 and linked <= met
+    assert len(met) < len(texts)  # words alone leave thousands
+
+
+def test_rarest_runs_of_linked_texts_meet():
+    draw, times = random.Random(13), np.arange(near.COUNTERS)[::-1]
+    for _ in range(2000):
+        similarity, known = draw.choice([0.75, 0.8, 0.9]), "abcdefghij"[:draw.randint(1, 10)]
+        a = draw.choices(known, k=draw.randint(1, 40))
+        b = list(a)
+        for _ in range(draw.randint(0, near.most_edits(len(a), len(a), similarity) + 1)):
+            at = draw.randrange(len(b) + 1)
+            b[at:at + draw.randint(0, 1)] = draw.choices(known, k=draw.randint(0, 1))
+        if near.banded_distance(a, b, near.most_edits(len(a), len(b), similarity)) is None or not b:
+            continue
+        for together in (1, 2):
+            one, other = (near.rarest(w, times, together, similarity) for w in near.word_hashes([" ".join(a), " ".join(b)]))
+            assert set(one.tolist()) & set(other.tolist()), (a, b, similarity, together)
+
+
+def test_hubs_meet_all_of_other_classes_once(spark):
+    rows = [(0, 1, bytes([i]), bytes([i if i < 5 else 5])) for i in range(12)]
+    left = spark.createDataFrame(rows, "band int, key long, h binary, label binary")
+    found = [(r.hub[0], r.h[0]) for r in near.with_hubs(left, 8, 1).collect()]
+    pairs = [p for p in found if p[0] != p[1]]
+    classes = [min(i, 5) for i in range(12)]
+    expected = {(i, j) for i, j in combinations(range(12), 2) if classes[i] != classes[j]}
+    assert sorted(tuple(sorted(p)) for p in pairs) == sorted(expected)
+    assert {h for _, h in found} == set(range(12)) and {(i, i) for i in range(6)} <= set(found)
+
+
 def test_all_links_of_short_texts(spark):
     draw = random.Random(10)
     known, texts = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(300)], []
