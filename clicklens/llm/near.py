@@ -336,13 +336,13 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
     sketches = ids.dropDuplicates(["h"])
     nodes = sketches.select("h", F.posexplode("sketch").alias("band", "key")).unionByName(
         sketches.select("h", F.lit(SKETCHES).alias("band"), F.explode("short").alias("key")))
-    # Nearly all buckets have one text: those of several are found by their keys alone.
-    several = nodes.groupBy("band", "key").count().where("count > 1").select("band", "key")
-    met = written(nodes.join(written(several, "near-several"), ["band", "key"]), "near-met")
-    hubs = met.groupBy("band", "key").agg(F.min("h").alias("hub"))
+    # Dealt once: what a bucket holds is counted where its rows are joined with the count.
+    nodes = nodes.repartition("band", "key")
+    hubs = nodes.groupBy("band", "key").agg(F.min("h").alias("hub"), F.max("h").alias("last")).where(
+        "hub <> last").select("band", "key", "hub")
     # Texts that share a passage meet in many buckets, and these in few hubs: the buckets of
     # one hub become one, which adds pairs and loses none.
-    active = written(met.join(hubs, ["band", "key"]).select(
+    active = written(nodes.join(hubs.hint("merge"), ["band", "key"]).select(
         F.lit(0).alias("band"), F.xxhash64("hub").alias("key"), "h", "hub").distinct(), "near-buckets")
     members = active.select("h").distinct()
     spoken_for = ids.join(members, "h").groupBy("h").agg(
@@ -474,7 +474,7 @@ def runs_of(words: np.ndarray, together: int) -> np.ndarray:
 
 def split_by_runs(left: DataFrame, pool: DataFrame, together: int, similarity: float) -> DataFrame:
     """The buckets split: texts meet that have one of their rarest runs of words in common."""
-    texts = written(pool.join(left.select("h").distinct(), "h", "left_semi").select("h", "text"), "near-open")
+    texts = written(pool.select("h", "text").join(left.select("h", "label").distinct(), "h"), "near-open")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, dtype=np.int64)
@@ -500,10 +500,11 @@ def split_by_runs(left: DataFrame, pool: DataFrame, together: int, similarity: f
                 (rarest(words, times, together, similarity) if len(words) else words).view(np.int64)
                 for words in word_hashes(list(batch))], dtype=object)
 
-    runs = written(texts.select("h", F.explode(rare("text")).alias("run")), "near-runs")
-    # Nearly all runs are of one text, and meet nobody in any bucket.
-    several = runs.groupBy("run").count().where("count > 1").select("run")
-    runs = written(runs.join(several, "run"), "near-runs")
+    runs = written(texts.select("h", "label", F.explode(rare("text")).alias("run")), "near-runs")
+    # Nearly all runs are of one text or one class, and bring together nothing new in any bucket.
+    several = runs.groupBy("run").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(
+        "a <> b").select("run")
+    runs = written(runs.join(several, "run").select("h", "run"), "near-runs")
     return left.join(runs, "h").select("band", F.xxhash64("key", "run").alias("key"), "h", "label")
 
 
