@@ -29,6 +29,7 @@ from clicklens.llm.lattice import (
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 REMEMBERED = 200_000  # segments in each of the two generations a worker remembers
+WAYS = 20_000  # segments whose n best segmentations it remembers
 PAST = -2  # left of a segment's first piece
 NEVER = -1e8  # vocabularies score so low what should not be used
 SEGMENTS = 200_000  # segments of texts that are worked on together
@@ -138,8 +139,9 @@ def backward_search(
 class Encoder:
     """Encodes texts. Segments met lately are remembered, in two generations of bounded size."""
 
-    def __init__(self, pieces: Pieces, n_best: int = N_BEST) -> None:
+    def __init__(self, pieces: Pieces, n_best: int = N_BEST, remembered: int = REMEMBERED) -> None:
         self.pieces, self.scores, self.n_best = pieces, usable_scores(pieces), n_best
+        self.remembered = remembered
         self.ids = {text: i for i, text in enumerate(pieces.texts) if text}
         self.new: dict[str, Entry] = {}
         self.old: dict[str, Entry] = {}
@@ -147,9 +149,9 @@ class Encoder:
 
     def learn(self, segments: set[str]) -> None:
         """Work out the segments that are not remembered, all at once."""
-        if len(self.new) > REMEMBERED:
+        if len(self.new) > self.remembered:
             self.old, self.new = self.new, {}
-        if len(self.ways) > REMEMBERED // 10:
+        if len(self.ways) > WAYS:
             self.ways = {}
         missing = []
         for segment in segments.difference(self.new):
@@ -244,7 +246,7 @@ def joined(ids: list[int], as_bytes: list[bytes]) -> str:
 
 def encoded(
     docs: DataFrame, vocabulary: str = VOCABULARY, n_best: int = N_BEST, text_col: str = "text",
-    with_ids: bool = True,
+    with_ids: bool = True, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """row (the document's own columns) and what encoding its whole text gives.
 
@@ -256,6 +258,8 @@ def encoded(
 
     A null text is an empty one; that has no pieces, one segmentation and score 0. Equal
     texts are encoded alike, equal scores in a fixed order; an empty table gives no rows.
+    ``remembered`` segments, twice at most and a block's, stay in a worker's memory; the
+    results do not depend on it.
     """
     shared = share(docs, load_pieces(vocabulary))
 
@@ -263,7 +267,7 @@ def encoded(
         "ids array<int>, n_pieces int, ids_sha256 string, round_trip boolean, "
         "best array<struct<score: double, changes: array<struct<segment: int, ids: array<int>>>>>")
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value, n_best)
+        encoder = Encoder(shared.value, n_best, remembered)
         as_bytes = piece_bytes(shared.value)
         for batch in texts:
             # Handed on block by block, so that no more than a block's ids are held.

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from clicklens.llm import exact, mixing, near, pieces, quality
 from clicklens.llm.common import table, written
 
+# Segments that an encoding worker remembers, in each of two generations: fewer than the
+# operator does by itself, since the workers still hold what the stages before have taken.
+REMEMBERED = 60_000
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier finds toxic or poor."""
@@ -37,7 +41,7 @@ def in_proportion(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of every document, and the scores of its N best segmentations."""
-    return pieces.encoded(docs).select(
+    return pieces.encoded(docs, remembered=REMEMBERED).select(
         "row.doc_id", "row.lang", "row.source", "n_pieces", "ids", "round_trip",
         F.col("best.score").alias("scores"))
 

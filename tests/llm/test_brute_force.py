@@ -126,6 +126,20 @@ def test_n_best_are_the_best_of_all_segmentations():
         assert sum(encoder.scores[ids]) == expected[0]
 
 
+def test_encoder_remembers_no_more_than_asked_and_encodes_alike():
+    vocabulary, draw = load_pieces(VOCABULARY), random.Random(16)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 8))) for _ in range(400)]
+    texts = [" ".join(draw.choices(words, k=10)) for _ in range(120)]
+    few, many = (pieces.Encoder(vocabulary, remembered=n) for n in (20, 10_000))
+    for text in texts:
+        segments = pieces.split_segments(text)
+        for encoder in (few, many):
+            encoder.learn(set(segments))
+        assert few.encode(segments) == many.encode(segments)
+        assert max(len(few.new), len(few.old)) <= 20 + 10
+    assert len(many.new) > 300
+
+
 def test_marginal_likelihood_is_the_sum_over_all_segmentations():
     vocabulary = load_pieces(VOCABULARY)
     scores = lm.starting_scores(vocabulary)
