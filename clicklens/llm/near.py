@@ -23,6 +23,7 @@ SHORT = 40  # words of a text that meets all others by its words, too
 TOGETHER = 3  # words that short texts meet by
 COUNTED = 256  # classes that a text's words are counted by, at most 255 of each
 WIDE = 64  # texts of a bucket that may be merged with others and split by words
+FEW = 1 << 13  # texts to align that are picked where they lie, not moved with all others
 COUNTERS = 1 << 18  # of hashes, which tell rare runs of words from common ones
 BLOCK_WORDS = 200_000
 BLOCK_HASHES = 1 << 15  # of k-mers at a time, few enough for a processor's cache
@@ -230,15 +231,15 @@ def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame
     """hub, h, hub_words, words, edits of each pair. ``edits`` is null when over twice what
     is allowed.
 
-    Texts that their numbers or counts of words part are not aligned, and not moved: ``edits`` is then
-    what these differ by, which no alignment goes below.
+    Texts that their numbers or counts of words part are not aligned: ``edits`` is then
+    what these differ by, which no alignment goes below. Hubs are texts of the pool that ``leads`` marks.
     """
     @F.pandas_udf("long")
     def differ(ones: pd.Series, others: pd.Series) -> pd.Series:
         return pd.Series(least_edits(list(ones), list(others)))
 
-    sizes = pool.select("h", "words", "counts")
-    sized = pairs.join(sizes.select(
+    sizes, leading = pool.select("h", "words", "counts"), pool.where("leads")
+    sized = pairs.join(leading.select(
         F.col("h").alias("hub"), F.col("words").alias("hub_words"), F.col("counts").alias("hub_counts")), "hub")
     apart = F.abs(F.col("hub_words") - F.col("words"))
     sized = written(sized.join(sizes, "h").select(
@@ -246,7 +247,10 @@ def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame
         F.greatest(apart, differ("hub_counts", "counts")).alias("edits")), "near-pairs")
     parted = sized.where(F.col("edits") > allowed(similarity))
     pairs = sized.where(F.col("edits") <= allowed(similarity)).select("hub", "h")
-    pool = pool.select("h", "text")
+    ends = pairs.select("h").union(pairs.select("hub")).distinct()
+    if ends.limit(FEW + 1).count() <= FEW:
+        ends = F.broadcast(written(ends, "near-ends"))
+        pool, leading = pool.join(ends, "h", "left_semi"), leading.join(ends, "h", "left_semi")
 
     @F.pandas_udf("hub_words long, words long, edits long")
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -259,8 +263,8 @@ def distances(pairs: DataFrame, pool: DataFrame, similarity: float) -> DataFrame
             yield pd.DataFrame(out, columns=["hub_words", "words", "edits"]).astype(
                 {"edits": "Int64"})
 
-    both = pairs.join(pool.select(F.col("h").alias("hub"), F.col("text").alias("hub_text")), "hub")
-    both = both.join(pool, "h")
+    both = pairs.join(leading.select(F.col("h").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    both = both.join(pool.select("h", "text"), "h")
     aligned = both.select("hub", "h", compare("hub_text", "text").alias("d")).select("hub", "h", "d.*")
     return aligned.unionByName(parted)
 
@@ -336,34 +340,42 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, similarity: float)
     sketches = ids.dropDuplicates(["h"])
     nodes = sketches.select("h", F.posexplode("sketch").alias("band", "key")).unionByName(
         sketches.select("h", F.lit(SKETCHES).alias("band"), F.explode("short").alias("key")))
-    # Dealt once: what a bucket holds is counted where its rows are joined with the count.
-    nodes = nodes.repartition("band", "key")
-    hubs = nodes.groupBy("band", "key").agg(F.min("h").alias("hub"), F.max("h").alias("last")).where(
-        "hub <> last").select("band", "key", "hub")
+    # Dealt and sorted once: a window, unlike a sum and a join, reads its rows a single time.
+    bucket = Window.partitionBy("bucket")
+    nodes = nodes.select(F.xxhash64("band", "key").alias("bucket"), "h").select(
+        "h", F.min("h").over(bucket).alias("hub"), F.max("h").over(bucket).alias("last"))
     # Texts that share a passage meet in many buckets, and these in few hubs: the buckets of
     # one hub become one, which adds pairs and loses none.
-    active = written(nodes.join(hubs.hint("merge"), ["band", "key"]).select(
+    active = written(nodes.where("hub <> last").select(
         F.lit(0).alias("band"), F.xxhash64("hub").alias("key"), "h", "hub").distinct(), "near-buckets")
-    members = active.select("h").distinct()
+    members = active.groupBy("h").agg(F.max(F.col("h") == F.col("hub")).alias("leads"))
     spoken_for = ids.join(members, "h").groupBy("h").agg(
-        F.min("id").alias("id"), F.max("words").alias("words"), F.max("counts").alias("counts"))
+        F.min("id").alias("id"), F.max("words").alias("words"), F.max("counts").alias("counts"),
+        F.max("leads").alias("leads"))
     texts = docs.select(
         named(id_col).alias("id"), F.unhex(F.md5(text_of(text_col))).alias("h"),
         text_of(text_col).alias("text"))
     one = texts["id"].eqNullSafe(spoken_for["id"]) & (texts["h"] == spoken_for["h"])
     pool = written(
-        texts.join(spoken_for, one).select(texts["h"], "text", "words", "counts").dropDuplicates(["h"]),
+        texts.join(spoken_for, one).select(
+            texts["h"], "text", "words", "counts", "leads").dropDuplicates(["h"]),
         "near-pool")
     # Every text is a class of its own until links join them.
     labels, most, each = members.select("h", F.col("h").alias("label")), HUBS, 1
-    active = active.withColumn("apart", F.col("h") != F.col("hub"))
+    active = active.withColumn("apart", F.col("h") != F.col("hub")).withColumn("open", F.lit(True))
     while True:
         pairs = active.where("apart").select("hub", "h").distinct()
         found = written(distances(pairs, pool, similarity), "near-distances")
         links = found.where(linked(similarity))
         if not links.isEmpty():
             labels = joined_classes(labels, links)
-        left = of_several_classes(unresolved(active, found, similarity).join(labels, "h"))
+        left = unresolved(active.where("open"), found, similarity).join(labels, "h")
+        left = written(of_several_classes(left), "near-open")
+        if left.isEmpty():
+            break
+        # The other texts are not moved again: every round would move all of them twice.
+        pool = written(pool.drop("leads").join(left.select("h").distinct(), "h").withColumn(
+            "leads", F.lit(True)), "near-pool")
         if most == HUBS:
             left = of_several_classes(refined(left, pool, similarity))
         active = written(with_hubs(left, most, each), "near-buckets")
@@ -473,8 +485,17 @@ def runs_of(words: np.ndarray, together: int) -> np.ndarray:
 
 
 def split_by_runs(left: DataFrame, pool: DataFrame, together: int, similarity: float) -> DataFrame:
-    """The buckets split: texts meet that have one of their rarest runs of words in common."""
-    texts = written(pool.select("h", "text").join(left.select("h", "label").distinct(), "h"), "near-open")
+    """The buckets split: texts meet that have one of their rarest runs of words in common.
+
+    What meets no other class is left out. Texts and classes are numbered for this: a text
+    is there once for each of its runs, and numbers take a third of what hashes do.
+    """
+    bucket = ["band", "key"]
+    numbers = written(left.select("h", "label").distinct().withColumn(
+        "node", F.monotonically_increasing_id()), "near-numbers")
+    classes = numbers.groupBy("label").agg(F.min("node").alias("class"))
+    numbers = written(numbers.join(classes, "label"), "near-numbers")
+    texts = written(pool.select("h", "text").join(numbers, "h").drop("h", "label"), "near-open")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, dtype=np.int64)
@@ -500,12 +521,19 @@ def split_by_runs(left: DataFrame, pool: DataFrame, together: int, similarity: f
                 (rarest(words, times, together, similarity) if len(words) else words).view(np.int64)
                 for words in word_hashes(list(batch))], dtype=object)
 
-    runs = written(texts.select("h", "label", F.explode(rare("text")).alias("run")), "near-runs")
     # Nearly all runs are of one text or one class, and bring together nothing new in any bucket.
-    several = runs.groupBy("run").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(
-        "a <> b").select("run")
-    runs = written(runs.join(several, "run").select("h", "run"), "near-runs")
-    return left.join(runs, "h").select("band", F.xxhash64("key", "run").alias("key"), "h", "label")
+    runs = written(texts.select("node", "class", F.explode(rare("text")).alias("run")), "near-runs")
+    runs = written(of_classes(runs, ["run"]).select("node", "run"), "near-runs")
+    parts = left.select(*bucket, "h").join(numbers, "h").select(*bucket, "node", "class").join(runs, "node")
+    parts = written(parts.select("band", F.xxhash64("key", "run").alias("key"), "node", "class"), "near-parts")
+    parts = written(of_classes(parts, bucket).select(*bucket, "node"), "near-parts")
+    return parts.join(numbers, "node").select(*bucket, "h", "label")
+
+
+def of_classes(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys texts of more than one ``class`` have."""
+    several = rows.groupBy(*keys).agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b")
+    return rows.join(several.select(*keys), keys)
 
 
 def refined(left: DataFrame, pool: DataFrame, similarity: float) -> DataFrame:
@@ -549,7 +577,7 @@ def pairs_of(left: DataFrame) -> DataFrame:
 def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
     """Every text with each of its bucket's next hubs of other classes, ``most`` at most.
 
-    A hub is there with itself, too.
+    A hub is there with itself, too. ``open`` tells the buckets that may have pairs beyond these.
 
     Up to ``each`` texts of a class are hubs, one of every class before a second of any, and
     the smaller classes' first. The largest class has one: a bucket is done when all texts of
@@ -557,14 +585,21 @@ def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
     """
     bucket = ["band", "key"]
     sizes = left.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy(*bucket).agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
+    largest = sizes.groupBy(*bucket).agg(
+        F.max(F.struct("n", "label"))["label"].alias("largest"),
+        (F.sum("n") - F.max("n")).alias("others"),
+        (F.sum(F.least("n", F.lit(each))) - F.least(F.max("n"), F.lit(each))).alias("turns"))
+    # With all but the largest class as hubs, all pairs meet, and the bucket is done.
+    largest = largest.select(
+        *bucket, "largest", ((F.col("others") > F.col("turns")) | (F.col("others") >= most)).alias("open"))
     in_class = Window.partitionBy(*bucket, "label").orderBy("h")
     first = left.withColumn("turn", F.row_number().over(in_class)).where(F.col("turn") <= each)
     first = first.join(sizes, [*bucket, "label"]).join(largest, bucket).where(
         "turn = 1 OR label <> largest")
     in_turn = Window.partitionBy(*bucket).orderBy("turn", "n", "h")
     hubs = first.withColumn("rank", F.row_number().over(in_turn)).where(F.col("rank") <= most)
-    hubs = written(hubs.select(*bucket, F.col("h").alias("hub"), F.col("label").alias("hub_label")), "near-hubs")
+    hubs = written(hubs.select(
+        *bucket, F.col("h").alias("hub"), F.col("label").alias("hub_label"), "open"), "near-hubs")
     marks = hubs.select(*bucket, F.col("hub").alias("h"), F.lit(True).alias("is_hub"))
     marked = left.join(marks, [*bucket, "h"], "left")
     # Two hubs are one pair, and texts of one class none. There are hubs of two classes at
@@ -573,7 +608,7 @@ def with_hubs(left: DataFrame, most: int, each: int) -> DataFrame:
         F.col("is_hub").isNull() | (F.col("hub") < F.col("h")))
     same = (marked["band"] == hubs["band"]) & (marked["key"] == hubs["key"])
     return marked.join(hubs, same & meets).select(
-        marked["band"], marked["key"], "h", "hub", (F.col("h") != F.col("hub")).alias("apart"))
+        marked["band"], marked["key"], "h", "hub", (F.col("h") != F.col("hub")).alias("apart"), "open")
 
 
 def drop_near(

@@ -276,6 +276,42 @@ def test_hubs_meet_all_of_other_classes_once(spark):
     assert {h for _, h in found} == set(range(12)) and {(i, i) for i in range(6)} <= set(found)
 
 
+def test_buckets_are_open_until_all_pairs_have_met(spark):
+    draw, rows = random.Random(14), []
+    for key in range(60):
+        n, classes = draw.randint(2, 14), draw.randint(2, 6)
+        rows += [(0, key, bytes([i]), bytes([i % classes if i < classes else draw.randrange(classes)]))
+                 for i in range(max(n, classes))]
+    left = spark.createDataFrame(rows, "band int, key long, h binary, label binary")
+    for most, each in ((2, 1), (8, 1), (8, 3)):
+        met, open_ = {}, {}
+        for r in near.with_hubs(left, most, each).collect():
+            met.setdefault(r.key, set()).add(frozenset((r.hub, r.h)))
+            open_[r.key] = r.open
+        for key in range(60):
+            texts = [(h, label) for _, k, h, label in rows if k == key]
+            wanted = {frozenset((a, b)) for (a, x), (b, y) in combinations(texts, 2) if x != y}
+            assert open_[key] or wanted <= met[key], (key, most, each)
+        assert len(set(open_.values())) == 2, (most, each)
+
+
+def test_texts_of_settled_buckets_are_not_moved_again(spark, monkeypatch):
+    # Only the four that share a passage with others that are not like them need another round.
+    draw = random.Random(15)
+    fresh = lambda n: ["".join(draw.choices("abcdefgh", k=7)) for _ in range(n)]
+    texts, passage = [], fresh(70)
+    for _ in range(20):
+        words = fresh(100)
+        texts += [" ".join(words), " ".join(words[:-1] + fresh(1))]
+    texts += [" ".join(passage + fresh(30)) for _ in range(4)]
+    pools, distances = [], near.distances
+    monkeypatch.setattr(near, "distances", lambda pairs, pool, similarity: pools.append(
+        pool.count()) or distances(pairs, pool, similarity))
+    found = {r.doc_id: r.class_id for r in near.near_groups(frame_of(spark, texts)).collect()}
+    assert len(set(found.values())) == 24
+    assert pools[0] == 44 and len(pools) > 1 and max(pools[1:]) <= 4
+
+
 def test_all_links_of_short_texts(spark):
     draw = random.Random(10)
     known, texts = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(300)], []
