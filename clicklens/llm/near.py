@@ -24,7 +24,7 @@ TOGETHER = 3  # words that short texts meet by
 COUNTED = 256  # classes that a text's words are counted by, at most 255 of each
 WIDE = 64  # texts of a bucket that may be merged with others and split by words
 FEW = 1 << 13  # texts to align that are picked where they lie, not moved with all others
-COUNTERS = 1 << 18  # of hashes, which tell rare runs of words from common ones
+COUNTERS = 1 << 20  # of hashes, which tell rare runs of words from common ones
 BLOCK_WORDS = 200_000
 BLOCK_HASHES = 1 << 15  # of k-mers at a time, few enough for a processor's cache
 ODD = np.uint64(0x9E3779B97F4A7C15)
